@@ -19,7 +19,7 @@ def exact_sum(c: Column, precision: int = 28, scale: int = 6) -> Column:
 
     NaN counts as missing.
     """
-    return F.sum(c.cast(f"decimal({precision},{scale})"))
+    return F.sum(nan_as_null(c).cast(f"decimal({precision},{scale})"))
 
 
 def round_sum(c: Column, digits: int = 3) -> Column:
