@@ -70,6 +70,9 @@ def rows_not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
             F.explode(F.array(*[F.lit(m) for m in range(1 << len(keys)) if m & ~missing == 0])),
         ).where(F.col("__known_mask").bitwiseOR(F.col("__mask_needed")) == missing)
         pairs = pairs.drop("__known_mask").distinct()
+        if not compared:
+            # At most one row per set of null columns, whatever the size of `right`.
+            pairs = F.broadcast(pairs)
         on = F.col("__mask") == F.col("__mask_needed")
         for k in compared:
             on = on & (F.col(k) == F.col(f"__known_{k}"))
