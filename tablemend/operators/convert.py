@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablemend.functions.numbers import nan_as_null
+from tablemend.functions.predicates import change_kind
 from tablemend.functions.text import blank_to_null, cut, first_upper, left_trim, strip_leading
 from tablemend.functions.times import iso_text, ntz, plain_text
 
@@ -178,5 +179,4 @@ def classified_changes(df: DataFrame, created: str, changed: str) -> DataFrame:
 
     Rows whose times cannot be compared are neither, and left out.
     """
-    kind = F.when(F.col(created) == F.col(changed), "I").when(F.col(created) != F.col(changed), "U")
-    return df.select(kind.alias("op"), "*", F.col(changed).alias("transact_id")).where(F.col("op").isNotNull())
+    return df.select(change_kind(created, changed).alias("op"), "*", F.col(changed).alias("transact_id")).where(F.col("op").isNotNull())
