@@ -71,6 +71,17 @@ def second_index(c: Column) -> Column:
     ).cast("long")
 
 
+def wall_as_instant(c: Column) -> Column:
+    """Wall-clock time as the instant that shows it in UTC; watermarks need instants."""
+    second = _part("SECOND", c)
+    return F.timestamp_seconds(second_index(c) - second_index(ntz("1970-01-01 00:00:00")) + second - F.floor(second))
+
+
+def instant_as_wall(c: Column) -> Column:
+    """Inverse of `wall_as_instant` for whole seconds."""
+    return ntz("1970-01-01 00:00:00") + F.make_dt_interval(secs=F.unix_seconds(c).cast("decimal(18,6)"))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed from start to end (0.9 s to 1.1 s crosses one)."""
     return second_index(end) - second_index(start)

@@ -86,5 +86,5 @@ def is_small(df: DataFrame) -> bool:
     if plan is None:
         return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(plan.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size * _EXPANSION <= limit

@@ -125,8 +125,7 @@ def read_text_with_fallback(spark: SparkSession, path: str) -> DataFrame:
 
 def read_log_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Headerless CSV in an unknown encoding, without the lines that have too many fields."""
-    loose = _loose(schema)
-    options = {"mode": "PERMISSIVE", "nullValue": _NO_NULL}
-    fields = F.from_csv("line", F.lit(loose.simpleString().removeprefix("struct<").removesuffix(">")), options)
+    names = ", ".join(f"`{name}` string" for name in _loose(schema).names)
+    fields = F.from_csv("line", names, {"mode": "PERMISSIVE", "nullValue": _NO_NULL})
     lines = read_text_with_fallback(spark, path).where(F.trim("line") != "")
     return _typed(lines.select(fields.alias("r")).select("r.*"), schema)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablemend.functions.predicates import is_error
+from tablemend.functions.times import instant_as_wall, wall_as_instant
 from tablemend.operators.dedupe import latest_per_key
 from tablemend.operators.upsert import dedupe_upsert
 
@@ -51,13 +52,24 @@ def current_table(target: DataFrame, changes: DataFrame, keys: list[str], order:
     return dedupe_upsert(target, changes.select(*target.columns), keys, order)
 
 
-def error_counts(events: DataFrame, ts: str, width: str, status: str = "st") -> DataFrame:
-    """Failed runs per job and half-open time window; each row falls in one window."""
+def error_counts(events: DataFrame, ts: str, width: str, lateness: str | None = None, status: str = "st") -> DataFrame:
+    """Failed runs per job and half-open time window; each row falls in one window.
+
+    Windows start at midnight of the wall clock. A stream also states how late
+    its rows may be.
+    """
+    failed = events.where(is_error(status)).withColumn("at", wall_as_instant(F.col(ts)))
+    if lateness is not None:
+        failed = failed.withWatermark("at", lateness)
     return (
-        events.where(is_error(status))
-        .groupBy(F.window(ts, width).alias("w"), "pgmid")
+        failed.groupBy(F.window("at", width).alias("w"), "pgmid")
         .agg(F.count("*").alias("error_count"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "pgmid", "error_count")
+        .select(
+            instant_as_wall(F.col("w.start")).alias("window_start"),
+            instant_as_wall(F.col("w.end")).alias("window_end"),
+            "pgmid",
+            "error_count",
+        )
     )
 
 
@@ -74,7 +86,7 @@ def stream_error_counts(
         batch.write.mode("overwrite").parquet(_batch_folder(counts, batch_id))
 
     return (
-        error_counts(events.withWatermark(ts, lateness), ts, width, status)
+        error_counts(events, ts, width, lateness, status)
         .writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
