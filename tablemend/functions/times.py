@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 COMPACT_FORMAT = "yyyyMMddHHmmss"
 DATE_FORMAT = "yyyyMMdd"
-_ORIGIN = "0001-01-01 00:00:00"
+_ORIGIN = "0001-01-01"
 
 
 def ntz(value: str) -> Column:
@@ -50,25 +50,23 @@ def shift_date_text(c: Column, days: int) -> Column:
     return F.date_format(F.date_add(parse_date(c), days), DATE_FORMAT)
 
 
-def _part(unit: str, c: Column) -> Column:
-    return F.extract(F.lit(unit), c)
+def _second_of_day(c: Column) -> Column:
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def whole_second(c: Column) -> Column:
     """Time cut to its second."""
-    second = _part("SECOND", c)
-    return c - F.make_dt_interval(secs=second - F.floor(second))
+    return day_start(c) + _second_of_day(c) * F.expr("INTERVAL '1' SECOND")
 
 
 def second_index(c: Column) -> Column:
     """Number of second boundaries before the time, as a long."""
-    span = c - ntz(_ORIGIN)
-    return (
-        _part("DAY", span).cast("long") * 86400
-        + _part("HOUR", span) * 3600
-        + _part("MINUTE", span) * 60
-        + F.floor(_part("SECOND", span))
-    ).cast("long")
+    days = F.date_diff(c.cast("date"), F.lit(_ORIGIN).cast("date"))
+    return days.cast("long") * 86400 + _second_of_day(c)
+
+
+def _part(unit: str, c: Column) -> Column:
+    return F.extract(F.lit(unit), c)
 
 
 def wall_as_instant(c: Column) -> Column:

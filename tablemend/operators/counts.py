@@ -23,7 +23,7 @@ def table_count(df: DataFrame, table: str, ts: str | None = None, window: TimeWi
 
 def count_and_sums(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Count and column sums from one scan: one row per column, or a single row without columns."""
-    totals = df.agg(F.count("*").alias("row_count"), *[exact_sum(F.col(c)).alias(c) for c in columns])
+    totals = df.agg(F.count("*").alias("row_count"), *[exact_sum(df.schema[c]).alias(c) for c in columns])
     named = totals.withColumn("table_name", F.lit(table))
     if not columns:
         return named.select(
@@ -32,7 +32,7 @@ def count_and_sums(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
             F.lit(None).cast("string").alias("column_name"),
             F.lit(None).cast("decimal(38,6)").alias("total"),
         )
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("decimal(38,6)").alias("total")) for c in columns]
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("total")) for c in columns]
     return named.select("table_name", "row_count", F.inline(F.array(*pairs)))
 
 

@@ -15,24 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.functions.predicates import keys_present
-from tablemend.functions.times import second_index, whole_second
+from tablemend.functions.times import whole_second
 from tablemend.functions.windows import TimeWindow
 
 SOURCE_TIME = "src_chg_dtm"
 TARGET_TIME = "tgt_chg_dtm"
 _SIDE = "__null_side"
-_FACTS = {
-    SOURCE_TIME: ("timestamp_ntz", F.max),
-    "src_rows": ("long", F.sum),
-    "src_after": ("boolean", F.max),
-    TARGET_TIME: ("timestamp_ntz", F.max),
-    "tgt_rows": ("long", F.sum),
-    "tgt_known": ("boolean", F.max),
-    "deleted": ("boolean", F.max),
-    "delete_after": ("boolean", F.max),
-    "delete_from": ("boolean", F.max),
-    "insert_from": ("boolean", F.max),
-}
+_COUNTS = ("src_rows", "tgt_rows")
 
 
 def latest_time(df: DataFrame, ts: str) -> Column:
@@ -47,8 +36,7 @@ def max_time(df: DataFrame, ts: str) -> DataFrame:
 
 def _facts(df: DataFrame, keys: list[str], side: str, **facts: Column) -> DataFrame:
     null_side = F.when(keys_present(keys), F.lit("")).otherwise(F.lit(side))
-    columns = [facts.get(name, F.lit(None)).cast(kind).alias(name) for name, (kind, _) in _FACTS.items()]
-    return df.select(*keys, null_side.alias(_SIDE), *columns)
+    return df.select(*keys, null_side.alias(_SIDE), *[c.alias(name) for name, c in facts.items()])
 
 
 def key_ledger(
@@ -67,53 +55,48 @@ def key_ledger(
     open window there is no "after the window". `whole_target` also notes
     target keys outside the window.
     """
-    changed, one = F.col(ts), F.lit(1)
+    changed, one, yes = F.col(ts), F.lit(1), F.lit(True)
     inside = window.holds(changed)
-    src = source.where(changed >= window.start)
-    after = F.lit(False) if window.hi is None else window.from_end(changed)
+    source_facts = {SOURCE_TIME: whole_second(changed), "src_rows": one}
+    if window.hi is not None:
+        source_facts = {name: F.when(inside, c) for name, c in source_facts.items()}
+        source_facts["src_after"] = F.when(window.from_end(changed), yes)
+    target_facts = {TARGET_TIME: changed, "tgt_rows": one}
+    if whole_target:
+        target_facts = {name: F.when(inside, c) for name, c in target_facts.items()}
+        target_facts["tgt_known"] = yes
     parts = [
-        _facts(
-            src,
-            keys,
-            "source",
-            **{SOURCE_TIME: F.when(inside, whole_second(changed))},
-            src_rows=F.when(inside, one),
-            src_after=after,
-        ),
-        _facts(
-            target if whole_target else target.where(inside),
-            keys,
-            "target",
-            **{TARGET_TIME: F.when(inside, changed)},
-            tgt_rows=F.when(inside, one),
-            tgt_known=F.lit(True),
-        ),
+        _facts(source.where(changed >= window.start), keys, "source", **source_facts),
+        _facts(target if whole_target else target.where(inside), keys, "target", **target_facts),
     ]
     if events is not None:
         is_delete, is_insert = F.col(op) == "D", F.col(op) == "I"
-        facts = {"deleted": is_delete}
+        event_facts = {"deleted": is_delete}
         if ts in events.columns:
             newest = latest_time(target, ts)
-            facts["delete_after"] = is_delete & (changed > newest)
-            facts["delete_from"] = is_delete & (changed >= newest)
-            facts["insert_from"] = is_insert & (changed >= newest)
-        parts.append(_facts(events.where(F.col(op).isin("D", "I")), keys, "event", **facts))
+            event_facts["delete_after"] = is_delete & (changed > newest)
+            event_facts["delete_from"] = is_delete & (changed >= newest)
+            event_facts["insert_from"] = is_insert & (changed >= newest)
+        parts.append(_facts(events.where(F.col(op).isin("D", "I")), keys, "event", **event_facts))
     stacked = parts[0]
     for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked.groupBy(*keys, _SIDE).agg(*[merge(name).alias(name) for name, (_, merge) in _FACTS.items()])
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    facts = [c for c in stacked.columns if c not in {*keys, _SIDE}]
+    merged = [(F.sum if c in _COUNTS else F.max)(c).alias(c) for c in facts]
+    return stacked.groupBy(*keys, _SIDE).agg(*merged)
 
 
-def _unset(flag: str) -> Column:
-    return ~F.coalesce(F.col(flag), F.lit(False))
+def _unset(ledger: DataFrame, flag: str) -> Column:
+    """The flag is false, null or was never noted."""
+    return ~F.coalesce(F.col(flag), F.lit(False)) if flag in ledger.columns else F.lit(True)
 
 
-def _is_changed(newest: Column, deleted: str) -> Column:
+def _is_changed(ledger: DataFrame, newest: Column, deleted: str) -> Column:
     """Times differ by a second or more, not newer than the target, not deleted."""
     return (
-        (second_index(F.col(SOURCE_TIME)) != second_index(F.col(TARGET_TIME)))
+        (F.col(SOURCE_TIME) != whole_second(F.col(TARGET_TIME)))
         & (F.col(SOURCE_TIME) <= newest)
-        & _unset(deleted)
+        & _unset(ledger, deleted)
     )
 
 
@@ -121,8 +104,8 @@ def _is_source_only(newest: Column) -> Column:
     return F.col(SOURCE_TIME).isNotNull() & F.col(TARGET_TIME).isNull() & (F.col(SOURCE_TIME) < newest)
 
 
-def _is_target_only() -> Column:
-    return F.col(TARGET_TIME).isNotNull() & F.col(SOURCE_TIME).isNull() & _unset("src_after")
+def _is_target_only(ledger: DataFrame) -> Column:
+    return F.col(TARGET_TIME).isNotNull() & F.col(SOURCE_TIME).isNull() & _unset(ledger, "src_after")
 
 
 def diff_changed(
@@ -130,7 +113,7 @@ def diff_changed(
 ) -> DataFrame:
     """Keys on both sides of the window whose change seconds differ."""
     ledger = key_ledger(source, target, keys, ts, window, deletes)
-    return ledger.where(_is_changed(latest_time(target, ts), "deleted")).select(*keys, SOURCE_TIME, TARGET_TIME)
+    return ledger.where(_is_changed(ledger, latest_time(target, ts), "deleted")).select(*keys, SOURCE_TIME, TARGET_TIME)
 
 
 def source_only(source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow) -> DataFrame:
@@ -141,7 +124,8 @@ def source_only(source: DataFrame, target: DataFrame, keys: list[str], ts: str,
 
 def target_only(source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow) -> DataFrame:
     """Target keys of the window found neither in nor after the source window."""
-    return key_ledger(source, target, keys, ts, window).where(_is_target_only()).select(*keys, TARGET_TIME)
+    ledger = key_ledger(source, target, keys, ts, window)
+    return ledger.where(_is_target_only(ledger)).select(*keys, TARGET_TIME)
 
 
 def diff_changed_pending(
@@ -149,7 +133,7 @@ def diff_changed_pending(
 ) -> DataFrame:
     """Changed keys since `start`, without those a newer pending delete explains."""
     ledger = key_ledger(source, target, keys, ts, TimeWindow(start), events, op)
-    return ledger.where(_is_changed(latest_time(target, ts), "delete_after")).select(*keys, SOURCE_TIME, TARGET_TIME)
+    return ledger.where(_is_changed(ledger, latest_time(target, ts), "delete_after")).select(*keys, SOURCE_TIME, TARGET_TIME)
 
 
 def source_only_pending(
@@ -160,8 +144,8 @@ def source_only_pending(
     Bounded by the newest time in the queue and without keys whose insert waits there.
     """
     ledger = key_ledger(source, target, keys, ts, TimeWindow(start), events, op, whole_target=True)
-    missing = F.col(SOURCE_TIME).isNotNull() & _unset("tgt_known") & (F.col(SOURCE_TIME) < latest_time(events, ts))
-    return ledger.where(missing & _unset("insert_from")).select(*keys, SOURCE_TIME)
+    missing = F.col(SOURCE_TIME).isNotNull() & _unset(ledger, "tgt_known") & (F.col(SOURCE_TIME) < latest_time(events, ts))
+    return ledger.where(missing & _unset(ledger, "insert_from")).select(*keys, SOURCE_TIME)
 
 
 def target_only_pending(
@@ -169,7 +153,7 @@ def target_only_pending(
 ) -> DataFrame:
     """Target keys since `start` that the source lacks, without those whose delete waits in the queue."""
     ledger = key_ledger(source, target, keys, ts, TimeWindow(start), events, op)
-    return ledger.where(_is_target_only() & _unset("delete_from")).select(*keys, TARGET_TIME)
+    return ledger.where(_is_target_only(ledger) & _unset(ledger, "delete_from")).select(*keys, TARGET_TIME)
 
 
 def all_differences(
@@ -179,9 +163,9 @@ def all_differences(
     ledger = key_ledger(source, target, keys, ts, window, deletes)
     newest = latest_time(target, ts)
     kind = (
-        F.when(_is_changed(newest, "deleted"), "changed")
+        F.when(_is_changed(ledger, newest, "deleted"), "changed")
         .when(_is_source_only(newest), "source_only")
-        .when(_is_target_only(), "target_only")
+        .when(_is_target_only(ledger), "target_only")
     )
     return (
         ledger.withColumn("kind", kind).where(F.col("kind").isNotNull()).select("kind", *keys, SOURCE_TIME, TARGET_TIME)
@@ -201,8 +185,8 @@ def difference_counts(
     return ledger.agg(
         rows("src_rows").alias("source_total_count"),
         rows("tgt_rows").alias("target_total_count"),
-        F.count_if(_is_changed(newest, "deleted")).alias("chg_dtm_diff_count"),
+        F.count_if(_is_changed(ledger, newest, "deleted")).alias("chg_dtm_diff_count"),
         F.count_if(_is_source_only(newest)).alias("source_only_count"),
-        F.count_if(_is_target_only()).alias("target_only_count"),
+        F.count_if(_is_target_only(ledger)).alias("target_only_count"),
         F.max(SOURCE_TIME).alias("temp_max_chg_dtm"),
     )

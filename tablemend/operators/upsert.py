@@ -14,11 +14,16 @@ from tablemend.operators.dedupe import latest_per_key
 from tablemend.operators.keys import is_small, null_spread, rows_with_key, rows_without_key
 
 _NEW = "__new_"
-_HERE, _THERE = "__in_target", "__in_source"
+_THERE = "__in_source"
 
 
-def _incoming(source: DataFrame, columns: list[str]) -> DataFrame:
-    return source.select(*[F.col(c).alias(_NEW + c) for c in columns], F.lit(True).alias(_THERE))
+def _incoming(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    listed = source.select(*columns)
+    return listed.select(
+        *[F.col(c).alias(_NEW + c) for c in columns],
+        F.lit(True).alias(_THERE),
+        null_spread(listed, keys).alias("__new_spread"),
+    )
 
 
 def _merged(target: DataFrame, keys: list[str], columns: list[str]) -> list:
@@ -48,17 +53,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], columns: list[
     columns = columns or [c for c in source.columns if c in target.columns]
     if is_small(source):
         return _upsert_small(target, source, keys, columns)
-    left = target.withColumn("__spread", null_spread(target, keys)).withColumn(_HERE, F.lit(True))
-    right = _incoming(source.select(*columns), columns).withColumn(
-        "__new_spread", null_spread(source.select(*columns), keys)
-    )
+    left = target.withColumn("__spread", null_spread(target, keys))
+    right = _incoming(source, keys, columns)
     on = [F.col(k) == F.col(_NEW + k) for k in keys] + [F.col("__spread") == F.col("__new_spread")]
     return left.join(right, on, "full_outer").select(*_merged(target, keys, columns))
 
 
 def _upsert_small(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     on = [F.col(k) == F.col(_NEW + k) for k in keys]
-    updated = target.join(F.broadcast(_incoming(source.select(*columns), columns)), on, "left").select(
+    updated = target.join(F.broadcast(_incoming(source, keys, columns)), on, "left").select(
         *_merged(target, keys, columns)
     )
     held = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")

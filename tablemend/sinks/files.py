@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def write_landing(df: DataFrame, base: str, schema: str, table: str, ts: str) -> str:
     """Parquet under `schema/table`, in a folder per day of the change time.
@@ -70,7 +72,13 @@ def delete_window_insert(spark: SparkSession, table: str, new: DataFrame, period
     loaded = new.select(F.col(period).cast("string").alias("p")).distinct()
     names = [r["p"] for r in stale.join(loaded, "p", "left_anti").collect()]
     columns = spark.table(table).columns
-    new.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    # Only the session setting reaches a catalog table; the writer's option would be ignored.
+    mode = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        new.select(*columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, mode)
     for name in names:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({period} = '{name}')")
 

@@ -12,8 +12,7 @@ ENCODINGS = ("utf-8", "euc-kr", "cp949", "latin1")
 # A file name and its encoding take well under a kilobyte.
 _BROADCAST_FILES = 10_000
 _SALTS = 32
-_OVERFLOW = "__overflow"
-_NO_NULL = "\x01"
+_LINE_END = "\x03end of line\x03"
 
 
 def read_parquet_prefix(spark: SparkSession, path: str) -> DataFrame:
@@ -31,21 +30,25 @@ def read_csv_stage(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", "true").option("quote", '"').csv(path)
 
 
-def _loose(schema: T.StructType) -> T.StructType:
-    names = [*schema.names, _OVERFLOW]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def _fields(lines: DataFrame, line: str, schema: T.StructType) -> DataFrame:
+    """Typed fields of the lines that have no more of them than the schema.
 
-
-def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows without overflow, their fields in the declared types; unreadable values become null."""
-    kept = rows.where(F.col(_OVERFLOW).isNull())
-    return kept.select(*[F.nullif(F.col(f.name), F.lit("")).try_cast(f.dataType).alias(f.name) for f in schema])
+    A mark is put behind every line as one field more. Where it is found among
+    the fields, the line is short enough; elsewhere it has too many fields.
+    Missing, empty and unreadable values become null.
+    """
+    names = [f"_{i}" for i in range(len(schema) + 1)]
+    marked = F.concat(line, F.lit(f",{_LINE_END}"))
+    parsed = F.from_csv(marked, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+    rows = lines.where(F.trim(line) != "").select(parsed.alias("r")).select("r.*")
+    found = rows.where(F.array_contains(F.array(*names), _LINE_END))
+    value = {n: F.nullif(F.nullif(F.col(n), F.lit(_LINE_END)), F.lit("")) for n in names}
+    return found.select(*[value[n].try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema)])
 
 
 def read_csv_skip_bad(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Headerless CSV without the lines that have too many fields; short lines end in nulls."""
-    rows = spark.read.schema(_loose(schema)).option("mode", "PERMISSIVE").option("nullValue", _NO_NULL).csv(path)
-    return _typed(rows, schema)
+    return _fields(spark.read.text(path), "value", schema)
 
 
 @F.pandas_udf(T.StringType())
@@ -125,7 +128,4 @@ def read_text_with_fallback(spark: SparkSession, path: str) -> DataFrame:
 
 def read_log_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Headerless CSV in an unknown encoding, without the lines that have too many fields."""
-    names = ", ".join(f"`{name}` string" for name in _loose(schema).names)
-    fields = F.from_csv("line", names, {"mode": "PERMISSIVE", "nullValue": _NO_NULL})
-    lines = read_text_with_fallback(spark, path).where(F.trim("line") != "")
-    return _typed(lines.select(fields.alias("r")).select("r.*"), schema)
+    return _fields(read_text_with_fallback(spark, path), "line", schema)
