@@ -78,7 +78,7 @@ def latest_with_ties(spark, sf_dir):
 )
 def row_range(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return N.row_range(orders, ["o_orderdate"], 101, 400)
+    return N.row_range(orders, ["o_orderdate", "o_orderkey"], 101, 400)
 
 
 @query(

@@ -44,8 +44,9 @@ def latest_run(runs: DataFrame, job: list[str], started: str) -> DataFrame:
 
 
 def sort_result(df: DataFrame, *order: str) -> DataFrame:
-    """Presentation order; missing values last."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    """Presentation order, missing values last; the other columns settle ties and spread them over partitions."""
+    rest = [c for c in df.columns if c not in order]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in [*order, *rest]])
 
 
 def limit_sample(df: DataFrame, n: int) -> DataFrame:

@@ -88,3 +88,8 @@ def is_small(df: DataFrame) -> bool:
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size * _EXPANSION <= limit
+
+
+def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
+    """Mark for broadcast after counting, at most to the bound, that there are no more rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tablemend.functions.predicates import keys_present
 from tablemend.functions.times import whole_second
 from tablemend.functions.windows import TimeWindow
+from tablemend.operators.keys import rows_not_in
 
 SOURCE_TIME = "src_chg_dtm"
 TARGET_TIME = "tgt_chg_dtm"
@@ -116,18 +117,41 @@ def diff_changed(
     return ledger.where(_is_changed(ledger, latest_time(target, ts), "deleted")).select(*keys, SOURCE_TIME, TARGET_TIME)
 
 
-def source_only(source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow) -> DataFrame:
-    """Source keys of the window that the target window lacks."""
+def source_only(
+    source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow, null_aware: bool = False
+) -> DataFrame:
+    """Source keys of the window that the target window lacks.
+
+    `null_aware` follows SQL `NOT IN` instead: a null key part may equal anything.
+    """
+    newest = latest_time(target, ts)
+    if null_aware:
+        found = rows_not_in(_staged(source, keys, ts, window), target.where(window.holds(F.col(ts))), keys)
+        return found.where(F.col(SOURCE_TIME) < newest)
     ledger = key_ledger(source, target, keys, ts, window)
-    return ledger.where(_is_source_only(latest_time(target, ts))).select(*keys, SOURCE_TIME)
+    return ledger.where(_is_source_only(newest)).select(*keys, SOURCE_TIME)
 
 
-def target_only(source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow) -> DataFrame:
-    """Target keys of the window found neither in nor after the source window."""
+def target_only(
+    source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow, null_aware: bool = False
+) -> DataFrame:
+    """Target keys of the window found neither in nor after the source window.
+
+    `null_aware` follows SQL `NOT IN` instead: a null key part may equal anything.
+    """
+    if null_aware:
+        known = source.where(F.col(ts) >= window.start)
+        return rows_not_in(target.where(window.holds(F.col(ts))), known, keys).select(
+            *keys, F.col(ts).alias(TARGET_TIME)
+        )
     ledger = key_ledger(source, target, keys, ts, window)
     return ledger.where(_is_target_only(ledger)).select(*keys, TARGET_TIME)
 
 
+def _staged(source: DataFrame, keys: list[str], ts: str, window: TimeWindow) -> DataFrame:
+    return source.where(window.holds(F.col(ts))).select(*keys, whole_second(F.col(ts)).alias(SOURCE_TIME))
+
+
 def diff_changed_pending(
     source: DataFrame, target: DataFrame, keys: list[str], ts: str, start: str, events: DataFrame, op: str = "op"
 ) -> DataFrame:

@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from tablemend.session import materialize
 
-_PART = "__part"
+_PART, _COPY = "__part", "__copy"
 
 
 def numbered(
-    df: DataFrame, group: list[str], order: list[str], name: str = "row_no", partitions: int | None = None
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    name: str = "row_no",
+    partitions: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Number the rows of each group by `order`, from 1; nulls form their own group.
 
@@ -22,13 +27,21 @@ def numbered(
     partition plus the group's rows in earlier partitions. A partition has at
     most one group that began earlier, hence at most one such offset each, and
     the broadcast table is never longer than the number of partitions.
+
+    Copies of one row may be many, so they get a random last sort column. It is
+    written down first: a repeated task must place them as before. Rows known
+    to be `unique` need no such column.
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ties = [c for c in df.columns if c not in {*group, *order}]
     sort = [*order, *ties]
+    rows = df
+    if not unique:
+        rows = materialize(df.withColumn(_COPY, F.rand()), "copies")
+        sort.append(_COPY)
     placed = materialize(
-        df.repartitionByRange(parts, *group, *sort).withColumn(_PART, F.spark_partition_id()), "numbered"
+        rows.repartitionByRange(parts, *group, *sort).withColumn(_PART, F.spark_partition_id()), "numbered"
     )
     before = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -50,6 +63,6 @@ def numbered(
     )
 
 
-def row_range(df: DataFrame, order: list[str], lo: int, hi: int) -> DataFrame:
-    """Rows `lo` to `hi`, both included, by row number in the given order."""
-    return numbered(df, [], order).where(F.col("row_no").between(lo, hi))
+def row_range(df: DataFrame, key: list[str], lo: int, hi: int) -> DataFrame:
+    """Rows `lo` to `hi`, both included, by row number in order of a unique key."""
+    return numbered(df, [], key, unique=True).where(F.col("row_no").between(lo, hi))

@@ -6,7 +6,7 @@ to a new folder or to another table, never over the files being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.functions.predicates import keys_present
@@ -14,31 +14,52 @@ from tablemend.operators.dedupe import latest_per_key
 from tablemend.operators.keys import is_small, null_spread, rows_with_key, rows_without_key
 
 _NEW = "__new_"
-_THERE = "__in_source"
+_THERE, _GONE = "__in_source", "__removed"
 
 
-def _incoming(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    listed = source.select(*columns)
-    return listed.select(
+def _merge(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], removes: Column) -> DataFrame:
+    """Target after writing the source rows, or removing their keys where `removes` holds.
+
+    A change set small enough to broadcast leaves the target unshuffled; a
+    larger one meets it in one full outer join.
+    """
+    listed = source.select(*columns, removes.alias(_GONE))
+    small = is_small(source)
+    incoming = listed.select(
         *[F.col(c).alias(_NEW + c) for c in columns],
         F.lit(True).alias(_THERE),
+        _GONE,
         null_spread(listed, keys).alias("__new_spread"),
     )
+    on = [F.col(k) == F.col(_NEW + k) for k in keys]
+    stays = ~F.coalesce(F.col(_GONE), F.lit(False))
+    if not small:
+        on.append(F.col("__spread") == F.col("__new_spread"))
+        spread = target.withColumn("__spread", null_spread(target, keys))
+        merged = spread.join(incoming, on, "full_outer").where(stays)
+        return merged.select(*_written(target, keys, columns))
+    merged = target.join(F.broadcast(incoming), on, "left").where(stays).select(*_written(target, keys, columns))
+    held = target.select(*keys).join(F.broadcast(listed.select(*keys)), keys, "left_semi")
+    types = {f.name: f.dataType for f in target.schema}
+    inserted = rows_without_key(listed, held, keys).where(~F.col(_GONE))
+    return merged.unionByName(
+        inserted.select(
+            *[(F.col(c) if c in columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns]
+        )
+    )
 
 
-def _merged(target: DataFrame, keys: list[str], columns: list[str]) -> list:
-    """Target columns after the join: listed columns from the source where it has the key."""
-    merged = []
+def _written(target: DataFrame, keys: list[str], columns: list[str]) -> list[Column]:
+    """Target columns after the join: listed ones from the source where it has the key."""
+    written = []
     for field in target.schema:
         name = field.name
-        if name not in columns:
-            merged.append(F.col(name))
-            continue
-        new = F.col(_NEW + name).cast(field.dataType)
         old = F.col(name)
-        value = F.coalesce(old, new) if name in keys else F.when(F.col(_THERE), new).otherwise(old)
-        merged.append(value.alias(name))
-    return merged
+        if name in columns:
+            new = F.col(_NEW + name).cast(field.dataType)
+            old = F.coalesce(old, new) if name in keys else F.when(F.col(_THERE), new).otherwise(old)
+        written.append(old.alias(name))
+    return written
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
@@ -47,32 +68,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], columns: list[
     Columns outside the list keep the target's values, and are null in inserted
     rows. Null keys never match: such target rows stay, such source rows are
     inserted. The source holds each key once; see `dedupe_upsert`.
-
-    A change set small enough to broadcast leaves the target unshuffled.
     """
     columns = columns or [c for c in source.columns if c in target.columns]
-    if is_small(source):
-        return _upsert_small(target, source, keys, columns)
-    left = target.withColumn("__spread", null_spread(target, keys))
-    right = _incoming(source, keys, columns)
-    on = [F.col(k) == F.col(_NEW + k) for k in keys] + [F.col("__spread") == F.col("__new_spread")]
-    return left.join(right, on, "full_outer").select(*_merged(target, keys, columns))
-
-
-def _upsert_small(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    on = [F.col(k) == F.col(_NEW + k) for k in keys]
-    updated = target.join(F.broadcast(_incoming(source, keys, columns)), on, "left").select(
-        *_merged(target, keys, columns)
-    )
-    held = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-    types = {f.name: f.dataType for f in target.schema}
-    inserted = rows_without_key(source.select(*columns), held, keys).select(
-        *[
-            (F.col(c) if c in columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in target.columns
-        ]
-    )
-    return updated.unionByName(inserted)
+    return _merge(target, source, keys, columns, F.lit(False))
 
 
 def dedupe_upsert(
@@ -97,7 +95,4 @@ def apply_changes(
     """
     columns = [c for c in target.columns if c in events.columns]
     addressed = events.where(keys_present(keys) & F.col(op).isin("I", "U", "D"))
-    last = latest_per_key(addressed, keys, order)
-    written = last.where(F.col(op) != "D").select(*columns)
-    removed = last.where(F.col(op) == "D").select(*keys)
-    return upsert(rows_without_key(target, removed, keys), written, keys, columns)
+    return _merge(target, latest_per_key(addressed, keys, order), keys, columns, F.col(op) == "D")

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablemend.operators.keys import broadcast_if_short
+
+# Days of windows, a few bytes each.
+_SHORT_DAYS = 100_000
+
 
 def window_days(windows: DataFrame, label: str) -> DataFrame:
     """Every day of every window; a reversed window has none."""
@@ -26,12 +31,12 @@ def recompute_windows(
     """
     days = window_days(windows, label)
     dated = facts.withColumn("day", F.col(ts).cast("date"))
-    needed = dated.join(days.select("day").distinct(), "day", "left_semi")
-    return needed.groupBy("day", *by).agg(*aggregates).join(days, "day")
+    needed = dated.join(broadcast_if_short(days.select("day").distinct(), _SHORT_DAYS), "day", "left_semi")
+    return needed.groupBy("day", *by).agg(*aggregates).join(broadcast_if_short(days, _SHORT_DAYS), "day")
 
 
 def replace_days(mart: DataFrame, fresh: DataFrame, windows: DataFrame, label: str, day: str = "day") -> DataFrame:
     """Mart with the days of the windows replaced by fresh rows."""
     days = window_days(windows, label).select(F.col("day").alias(day)).distinct()
-    kept = mart.join(days, day, "left_anti")
+    kept = mart.join(broadcast_if_short(days, _SHORT_DAYS), day, "left_anti")
     return kept.unionByName(fresh.select(*mart.columns).distinct())

@@ -113,3 +113,12 @@ def test_not_in_follows_three_valued_logic(spark, known):
     schema = "a int, b int"
     got = rows_not_in(spark.createDataFrame(left, schema), spark.createDataFrame(known, schema), ["a", "b"])
     assert rows(got) == want
+
+
+def test_null_aware_form_suppresses_what_a_null_could_match(spark):
+    source = frame(spark, (1, "2024-01-02"), (2, "2024-01-02"))
+    target = frame(spark, (None, "2024-01-03"), (1, "2024-01-02"), (7, "2024-01-04"), (9, "2024-02-20"))
+    args = (source, target, ["k"], "chg_dtm", WINDOW)
+    assert rows(L.source_only(*args, null_aware=True)) == []
+    assert rows(L.target_only(*args, null_aware=True), "k") == [(7,)]
+    assert rows(L.source_only(*args), "k") == [(2,)]
