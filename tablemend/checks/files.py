@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,20 +19,33 @@ def _orders(spark, sf_dir):
 
 
 @query(
-    """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year,
- CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day FROM orders"""
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'F'
+ UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus <> 'F'"""
 )
 def landing_roundtrip(spark, sf_dir):
-    # One folder per month-end keeps the number of folders of the check small.
+    """Two runs of a day, the first of them repeated."""
+    base = scratch_path(spark, "landing")
     rows = _orders(spark, sf_dir)
-    path = K.write_landing(rows.withColumn("landed", F.last_day("o_orderdate")), scratch_path(spark, "landing"), "sales", "orders", "landed")
-    back = spark.read.parquet(path)
-    return back.select(
-        *rows.columns,
-        "year",
-        "month",
-        F.dayofmonth("o_orderdate").alias("day"),
-    )
+    first, second = (dt.datetime(2024, 1, 2, hour) for hour in (3, 4))
+    for part, run_at in (("= 'F'", first), ("= 'F'", first), ("<> 'F'", second)):
+        K.write_landing(rows.where(f"o_orderstatus {part}"), base, "sales", "orders", run_at)
+    return S.read_parquet_prefix(spark, f"{base}/sales/orders")
+
+
+@query(
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year,
+ CAST(month(o_orderdate) AS INTEGER) AS month FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01' UNION ALL
+ SELECT o_orderkey, 'X', o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER),
+ CAST(month(o_orderdate) AS INTEGER) FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'"""
+)
+def landing_by_day(spark, sf_dir):
+    """Month ends as days, to keep the number of folders of the check small; some are written twice."""
+    base = scratch_path(spark, "by-day")
+    rows = _orders(spark, sf_dir).withColumn("landed", F.last_day("o_orderdate"))
+    K.write_landing_by_day(rows, base, "sales", "orders", "landed")
+    again = rows.where("o_orderdate >= '1999-01-01'").withColumn("o_orderstatus", F.lit("X"))
+    back = spark.read.parquet(K.write_landing_by_day(again, base, "sales", "orders", "landed"))
+    return back.drop("landed", "day")
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")

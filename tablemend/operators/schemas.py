@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,19 +12,15 @@ from tablemend.functions.text import comma_list
 
 # Staging columns that have no source counterpart.
 STAGING_COLUMNS = ("GBN", "DMS_SCN")
-
-
-def _ordered_names(position: Column, name: Column, when: Column) -> Column:
-    """Names in order of position. A group is the column list of one table."""
-    listed = F.array_sort(F.collect_list(F.when(when, F.struct(position.alias("p"), name.alias("n")))))
-    return F.transform(listed, lambda x: x["n"])
+_SIDES = ("source", "staged", "target", "private")
 
 
 def collect_keys(catalog: DataFrame, position: str = "ordinal_position") -> DataFrame:
     """Key columns of every verified table, in catalog order."""
     rows = catalog.where(F.col("verification_yn") == "Y")
+    columns = F.array_sort(F.collect_list(F.struct(position, "column_name")))
     return rows.groupBy(F.concat_ws(".", "owner", "table_name").alias("full_table_name")).agg(
-        _ordered_names(F.col(position), F.col("column_name"), F.lit(True)).alias("key_columns")
+        columns["column_name"].alias("key_columns")
     )
 
 
@@ -45,6 +42,7 @@ def schema_parity(
     Staging must hold the same columns as the source in any order, apart from
     its own technical ones. The target must hold the source columns without
     the private ones, in source order. One-sided columns are listed by name.
+    What is gathered per table is its column list, never rows.
     """
 
     def side(df: DataFrame, mark: str, position: Column | None = None) -> DataFrame:
@@ -73,30 +71,37 @@ def schema_parity(
         return F.min(F.when(F.col("mark") == mark, F.col("position")))
 
     columns = stacked.groupBy(*table, "column_name").agg(
-        *[has(m).alias(m) for m in ("source", "staged", "target", "private")],
+        *[has(side).alias(side) for side in _SIDES],
         place("source").alias("source_at"),
         place("target").alias("target_at"),
     )
-    name, by_name = F.col("column_name"), F.col("column_name")
-    in_source, in_staged = F.col("source"), F.col("staged")
-    compared = columns.groupBy(*table).agg(
-        F.count_if(in_source).alias("source_col_cnt"),
-        F.count_if(in_staged).alias("staged_col_cnt"),
-        F.count_if("target").alias("target_col_cnt"),
-        F.count_if("private").alias("private_col_cnt"),
-        comma_list(_ordered_names(by_name, name, in_source & ~in_staged)).alias("source_only"),
-        comma_list(_ordered_names(by_name, name, in_staged & ~in_source)).alias("staged_only"),
-        _ordered_names(F.col("source_at"), name, in_source & ~F.col("private")).alias("__expected"),
-        _ordered_names(F.col("target_at"), name, F.col("target")).alias("__actual"),
+    facts = F.struct("column_name", "source", "staged", "target", "private", "source_at", "target_at")
+    listed = columns.groupBy(*table).agg(F.array_sort(F.collect_list(facts)).alias("c"))
+
+    def chosen(when: Callable[[Column], Column]) -> Column:
+        """Columns that meet a condition, by name."""
+        return F.filter("c", when)
+
+    def by_position(when: Callable[[Column], Column], position: str) -> Column:
+        moved = F.transform(chosen(when), lambda x: F.struct(x[position].alias("p"), x["column_name"].alias("n")))
+        return F.transform(F.array_sort(moved), lambda x: x["n"])
+
+    def count(side: str) -> Column:
+        return F.size(chosen(lambda x: x[side])).cast("long")
+
+    compared = listed.select(
+        *table,
+        *[count(side).alias(f"{side}_col_cnt") for side in _SIDES],
+        comma_list(chosen(lambda x: x["source"] & ~x["staged"])["column_name"]).alias("source_only"),
+        comma_list(chosen(lambda x: x["staged"] & ~x["source"])["column_name"]).alias("staged_only"),
+        by_position(lambda x: x["source"] & ~x["private"], "source_at").alias("__expected"),
+        by_position(lambda x: x["target"], "target_at").alias("__actual"),
     )
     return compared.select(
         *table,
         ((F.col("source_only") == "") & (F.col("staged_only") == "")).alias("staged_is_match"),
         (F.col("__expected") == F.col("__actual")).alias("target_is_match"),
-        "source_col_cnt",
-        "staged_col_cnt",
-        "target_col_cnt",
-        "private_col_cnt",
+        *[f"{side}_col_cnt" for side in _SIDES],
         "source_only",
         "staged_only",
     )

@@ -69,7 +69,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], columns: list[
     rows. Null keys never match: such target rows stay, such source rows are
     inserted. The source holds each key once; see `dedupe_upsert`.
     """
-    columns = columns or [c for c in source.columns if c in target.columns]
+    columns = list(dict.fromkeys([*keys, *(columns or [c for c in source.columns if c in target.columns])]))
     return _merge(target, source, keys, columns, F.lit(False))
 
 

@@ -27,10 +27,16 @@ def recompute_windows(
     """Summaries of all days that some window covers, one set per window label.
 
     Days are aggregated once however many windows share them; only the short
-    result meets the windows.
+    result meets the windows. The span of the windows limits the scan itself.
     """
     days = window_days(windows, label)
-    dated = facts.withColumn("day", F.col(ts).cast("date"))
+    kind = facts.schema[ts].dataType
+
+    def edge(day: Column) -> Column:
+        return days.agg(day.cast(kind)).scalar()
+
+    spanned = (F.col(ts) >= edge(F.min("day"))) & (F.col(ts) < edge(F.date_add(F.max("day"), 1)))
+    dated = facts.where(spanned).withColumn("day", F.col(ts).cast("date"))
     needed = dated.join(broadcast_if_short(days.select("day").distinct(), _SHORT_DAYS), "day", "left_semi")
     return needed.groupBy("day", *by).agg(*aggregates).join(broadcast_if_short(days, _SHORT_DAYS), "day")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +11,23 @@ from pyspark.sql import functions as F
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def write_landing(df: DataFrame, base: str, schema: str, table: str, ts: str) -> str:
-    """Parquet under `schema/table`, in a folder per day of the change time.
+def write_landing(df: DataFrame, base: str, schema: str, table: str, run_at: dt.datetime) -> str:
+    """Parquet of one run under `schema/table/YYYY/MM/DD/`; a repeated run replaces its own files."""
+    path = f"{base}/{schema}/{table}/{run_at:%Y/%m/%d}/{run_at:%Y%m%d-%H%M%S}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def write_landing_by_day(df: DataFrame, base: str, schema: str, table: str, ts: str) -> str:
+    """Parquet under `schema/table` with a folder per day of the change time; days at hand are replaced.
 
     Rows are gathered by day first; adaptive execution splits a day that is too
     large for one task.
     """
     path = f"{base}/{schema}/{table}"
     day = {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)}
-    df.withColumns(day).hint("rebalance", *day).write.partitionBy(*day).mode("append").parquet(path)
+    gathered = df.withColumns(day).hint("rebalance", *day)
+    gathered.write.partitionBy(*day).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     return path
 
 
