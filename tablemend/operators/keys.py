@@ -80,14 +80,18 @@ def rows_not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     return rows.drop("__mask")
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate, with room to expand, allows a broadcast."""
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's estimate of the size of a result, where the session shows it."""
     plan = getattr(df, "_jdf", None)
-    if plan is None:
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the size estimate, with room to expand, allows a broadcast."""
+    size = estimated_bytes(df)
+    if size is None:
         return False
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size * _EXPANSION <= limit
+    return size * _EXPANSION <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:

@@ -7,18 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablemend.operators.keys import estimated_bytes
 from tablemend.session import materialize
 
 _PART, _COPY = "__part", "__copy"
+# Compressed bytes; rows take several times as much in memory.
+_PARTITION_BYTES = 64 * 2**20
+
+
+def _partitions_for(written: DataFrame) -> int:
+    """Enough range partitions for the size of the files, and no fewer than the session's shuffles use."""
+    usual = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, (estimated_bytes(written) or 0) // _PARTITION_BYTES)
 
 
 def numbered(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    name: str = "row_no",
-    partitions: int | None = None,
-    unique: bool = False,
+    df: DataFrame, group: list[str], order: list[str], name: str = "row_no", partitions: int | None = None
 ) -> DataFrame:
     """Number the rows of each group by `order`, from 1; nulls form their own group.
 
@@ -28,20 +32,18 @@ def numbered(
     most one group that began earlier, hence at most one such offset each, and
     the broadcast table is never longer than the number of partitions.
 
-    Copies of one row may be many, so they get a random last sort column. It is
-    written down first: a repeated task must place them as before. Rows known
-    to be `unique` need no such column.
+    The other columns settle ties. Copies of one row may be many, so they get a
+    random last sort column, which is written down first: a repeated task must
+    place them as before.
     """
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ties = [c for c in df.columns if c not in {*group, *order}]
-    sort = [*order, *ties]
-    rows = df
-    if not unique:
-        rows = materialize(df.withColumn(_COPY, F.rand()), "copies")
-        sort.append(_COPY)
+    sort = [*order, *ties, _COPY]
+    rows = materialize(df.withColumn(_COPY, F.rand()), "copies")
     placed = materialize(
-        rows.repartitionByRange(parts, *group, *sort).withColumn(_PART, F.spark_partition_id()), "numbered"
+        rows.repartitionByRange(partitions or _partitions_for(rows), *group, *sort).withColumn(
+            _PART, F.spark_partition_id()
+        ),
+        "numbered",
     )
     before = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -64,5 +66,5 @@ def numbered(
 
 
 def row_range(df: DataFrame, key: list[str], lo: int, hi: int) -> DataFrame:
-    """Rows `lo` to `hi`, both included, by row number in order of a unique key."""
-    return numbered(df, [], key, unique=True).where(F.col("row_no").between(lo, hi))
+    """Rows `lo` to `hi`, both included, by row number in the order of a key."""
+    return numbered(df, [], key).where(F.col("row_no").between(lo, hi))

@@ -38,19 +38,25 @@ def one_sided_rows(left: DataFrame, right: DataFrame, keys: list[str], ts: str)
 
 
 def key_set_diff(source: DataFrame, target: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
-    """Keys on one side only with y/n flags and the carried columns."""
-    columns = [*keys, *carried]
-    flags = {"target_yn": ("n", "y"), "source_yn": ("y", "n")}
-    here = rows_without_key(source.select(*columns), target, keys)
-    there = rows_without_key(target.select(*columns), source, keys)
-    return here.withColumns({name: F.lit(a) for name, (a, _) in flags.items()}).unionByName(
-        there.withColumns({name: F.lit(b) for name, (_, b) in flags.items()})
+    """Keys on one side only with y/n flags and the carried columns, each key once."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, F.struct(*carried).alias(name))
+
+    stacked = side(source, "s").unionByName(side(target, "t"), allowMissingColumns=True)
+    found = stacked.groupBy(*keys).agg(F.max("s").alias("s"), F.max("t").alias("t"))
+    here, there = F.col("s").isNotNull(), F.col("t").isNotNull()
+    return found.where(here != there).select(
+        *keys,
+        *[F.coalesce(F.col("s")[c], F.col("t")[c]).alias(c) for c in carried],
+        F.when(there, "y").otherwise("n").alias("target_yn"),
+        F.when(here, "y").otherwise("n").alias("source_yn"),
     )
 
 
 def deleted_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Target keys gone from the source."""
-    return rows_without_key(target.select(*keys), source, keys).distinct()
+    """Target keys gone from the source, each once."""
+    return outer_indicator(target, source, keys).where(F.col("side") == "left_only").select(*keys)
 
 
 def still_missing(log: DataFrame, target: DataFrame, keys: list[str], batch_id: str) -> DataFrame:

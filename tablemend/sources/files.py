@@ -86,7 +86,7 @@ def _readable_mask(values: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def _decode_as(values: pd.Series, encodings: pd.Series) -> pd.Series:
-    return pd.Series([v.decode(e) for v, e in zip(values, encodings)], dtype="object")
+    return pd.Series([None if v is None else v.decode(e) for v, e in zip(values, encodings)], dtype="object")
 
 
 def _first_readable(mask: Column) -> Column:
@@ -106,6 +106,7 @@ def read_text_with_fallback(spark: SparkSession, path: str) -> DataFrame:
     files = source.inputFiles()
     lines = source.select(
         F.col("_metadata.file_path").alias("path"),
+        "value",
         F.col("value").cast("binary").alias("raw"),
         F.col("value").rlike(r"[^\x00-\x7F]").alias("needs_check"),
     )
@@ -121,9 +122,10 @@ def read_text_with_fallback(spark: SparkSession, path: str) -> DataFrame:
         salted = lines.withColumn("salt", F.pmod(F.xxhash64("raw"), F.lit(_SALTS)).cast("int"))
         spread = verdict.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         joined = salted.join(spread, ["path", "salt"], "left")
-    return joined.select(
-        "path", _decode_as("raw", F.coalesce("encoding", F.lit(ENCODINGS[0]))).alias("line")
-    )
+    # Text that is UTF-8 already stays where it is; only other bytes go to Python.
+    foreign = F.col("needs_check") & (F.col("encoding") != ENCODINGS[0])
+    decoded = _decode_as(F.when(foreign, F.col("raw")), "encoding")
+    return joined.select("path", F.coalesce(decoded, "value").alias("line"))
 
 
 def read_log_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
