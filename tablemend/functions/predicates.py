@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablemend.functions.times import DATE_FORMAT, day_last_second, day_start, ntz, parse_date
+from tablemend.functions.times import day_last_second, day_start, ntz, shift_date_text
 from tablemend.functions.windows import TimeWindow
 
 
@@ -30,7 +30,7 @@ def either_in_window(columns: list[str], window: TimeWindow) -> Column:
 
 def date_text_in(column: str, start: str, end: str, shift: int = 0) -> Column:
     """`yyyyMMdd` text between two days, both moved by `shift` days."""
-    lo, hi = (F.date_format(F.date_add(parse_date(F.lit(d)), shift), DATE_FORMAT) for d in (start, end))
+    lo, hi = (shift_date_text(F.lit(d), shift) for d in (start, end))
     return F.col(column).between(lo, hi)
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-COMPACT_FORMAT = "yyyyMMddHHmmss"
-DATE_FORMAT = "yyyyMMdd"
 _ORIGIN = "0001-01-01"
 
 
@@ -21,33 +19,42 @@ def ntz(value: str) -> Column:
 
 def compact_text(c: Column) -> Column:
     """Time as `yyyyMMddHHmmss`."""
-    return F.date_format(c, COMPACT_FORMAT)
+    return F.translate(F.substring(c.cast("string"), 1, 19), "-: ", "")
 
 
 def parse_compact(c: Column) -> Column:
     """`yyyyMMddHHmmss` text as a time; bad text becomes null."""
-    return F.try_to_timestamp(c, F.lit(COMPACT_FORMAT)).cast("timestamp_ntz")
+    spaced = F.regexp_replace(c, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
+    return F.when(F.length(c) == 14, spaced.try_cast("timestamp_ntz"))
 
 
 def iso_text(c: Column) -> Column:
-    """ISO text with the fraction only where there is one."""
-    text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(F.endswith(text, F.lit(".000000")), F.substring(text, 1, 19)).otherwise(text)
+    """ISO text with the fraction, six digits long, only where there is one."""
+    return F.replace(plain_text(c), F.lit(" "), F.lit("T"))
 
 
 def plain_text(c: Column) -> Column:
-    """Space-separated text with the fraction only where there is one."""
-    return F.replace(iso_text(c), F.lit("T"), F.lit(" "))
+    """As `iso_text`, with a space before the clock time."""
+    text = c.cast("string")
+    fraction = F.substring(text, 21, 6)
+    whole = F.substring(text, 1, 19)
+    return F.when(fraction == "", whole).otherwise(F.concat(whole, F.lit("."), F.rpad(fraction, 6, "0")))
+
+
+def date_text(c: Column) -> Column:
+    """Day as `yyyyMMdd`."""
+    return F.translate(c.cast("date").cast("string"), "-", "")
 
 
 def parse_date(c: Column) -> Column:
     """`yyyyMMdd` text as a date; bad text becomes null."""
-    return F.try_to_timestamp(c, F.lit(DATE_FORMAT)).cast("date")
+    dashed = F.regexp_replace(c, r"^(\d{4})(\d\d)(\d\d)$", "$1-$2-$3")
+    return F.when(F.length(c) == 8, dashed.try_cast("date"))
 
 
 def shift_date_text(c: Column, days: int) -> Column:
     """`yyyyMMdd` text moved by whole days."""
-    return F.date_format(F.date_add(parse_date(c), days), DATE_FORMAT)
+    return date_text(F.date_add(parse_date(c), days))
 
 
 def _second_of_day(c: Column) -> Column:

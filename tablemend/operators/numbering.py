@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablemend.operators.keys import estimated_bytes
 from tablemend.session import materialize
 
-_PART, _COPY = "__part", "__copy"
+_PART, _PLACE, _COPY = "__part", "__place", "__copy"
 # Compressed bytes; rows take several times as much in memory.
 _PARTITION_BYTES = 64 * 2**20
 
@@ -40,9 +40,9 @@ def numbered(
     sort = [*order, *ties, _COPY]
     rows = materialize(df.withColumn(_COPY, F.rand()), "copies")
     placed = materialize(
-        rows.repartitionByRange(partitions or _partitions_for(rows), *group, *sort).withColumn(
-            _PART, F.spark_partition_id()
-        ),
+        rows.repartitionByRange(partitions or _partitions_for(rows), *group, *sort)
+        .sortWithinPartitions(*group, *sort)
+        .withColumns({_PART: F.spark_partition_id(), _PLACE: F.monotonically_increasing_id() % 2**33 + 1}),
         "numbered",
     )
     before = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -56,7 +56,8 @@ def numbered(
     here = reduce(
         lambda a, c: a & F.col(c).eqNullSafe(F.col(f"__at_{c}")), group, F.col(_PART) == F.col("__at")
     )
-    local = F.row_number().over(Window.partitionBy(_PART, *group).orderBy(*sort))
+    # Without groups the place in the partition is all there is to know.
+    local = F.row_number().over(Window.partitionBy(_PART, *group).orderBy(_PLACE)) if group else F.col(_PLACE)
     return (
         placed.withColumn("__local", local)
         .join(F.broadcast(offsets), here, "left")
