@@ -265,6 +265,16 @@ def _numbered_sql(rows: str) -> str:
  FROM {rows} WHERE starttime >= TIMESTAMP '{_SINCE}')"""
 
 
+@query(
+    f"""{X.RUN_COPIES_SQL} SELECT b.pgmid, b.jbpmt, b.starttime, b.readcnt, a.starttime AS src_starttime,
+ a.readcnt AS src_readcnt FROM {_numbered_sql('t')} b LEFT JOIN {_numbered_sql('s')} a ON a.pgmid = b.pgmid
+ AND a.jbpmt IS NOT DISTINCT FROM b.jbpmt AND a.run_no = b.run_no"""
+)
+def align_runs(spark, sf_dir):
+    pairs = R.align_runs(X.source_runs(spark, sf_dir), X.target_runs(spark, sf_dir), _SINCE)
+    return pairs.select("pgmid", "jbpmt", "starttime", "readcnt", "src_starttime", "src_readcnt")
+
+
 @query(
     f"""{X.RUN_COPIES_SQL} {_parity_sql(f'''{_numbered_sql('t')} b LEFT JOIN {_numbered_sql('s')} a ON a.pgmid = b.pgmid
  AND a.jbpmt IS NOT DISTINCT FROM b.jbpmt AND a.run_no = b.run_no''')}"""

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tablemend.checks import fixtures as X
 from tablemend.checks.registry import query
 from tablemend.functions import predicates as P
+from tablemend.functions import windows as W
 from tablemend.functions.times import compact_text
-from tablemend.functions.windows import calendar_flag, make_window, with_offset_windows
+from tablemend.functions.windows import make_window, with_offset_windows
 from tablemend.operators import convert as C
 from tablemend.operators import schemas
 from tablemend.plans import recompute
@@ -314,5 +315,5 @@ def replace_days(spark, sf_dir):
  WHEN month(o_orderdate + INTERVAL 1 DAY) <> month(o_orderdate) THEN 'last' WHEN day(o_orderdate) = 2 THEN 'second'
  WHEN day(o_orderdate) = 3 THEN 'third' WHEN day(o_orderdate) = 14 THEN 'fourteenth' END AS work FROM orders"""
 )
-def calendar_work(spark, sf_dir):
-    return _order_days(spark, sf_dir).select("o_orderkey", calendar_flag(F.col("o_orderdate")).alias("work"))
+def calendar_flag(spark, sf_dir):
+    return _order_days(spark, sf_dir).select("o_orderkey", W.calendar_flag(F.col("o_orderdate")).alias("work"))

@@ -72,24 +72,27 @@ def replace_periods(target: DataFrame, new: DataFrame, period: str, lo: str, hi:
 def delete_window_insert(spark: SparkSession, table: str, new: DataFrame, period: str, lo: str, hi: str) -> None:
     """Delete a range of periods from a table partitioned by them, then load.
 
-    Only the partitions of the range are touched. Those with new rows are
-    overwritten in one commit, the others are dropped afterwards.
+    Only partitions of the range are removed: those with new rows are replaced
+    in one commit, the others are dropped afterwards. New rows outside the
+    range join what is there.
     """
-    held = spark.sql(f"SHOW PARTITIONS {table}")
+    rows = new.select(*spark.table(table).columns)
+    inside = F.coalesce(F.col(period).between(lo, hi), F.lit(False))
     value = F.regexp_extract("partition", rf"(?:^|/){period}=([^/]*)", 1)
-    stale = held.select(value.alias("p")).where(F.col("p").between(lo, hi)).distinct()
-    loaded = new.select(F.col(period).cast("string").alias("p")).distinct()
-    names = [r["p"] for r in stale.join(loaded, "p", "left_anti").collect()]
-    columns = spark.table(table).columns
+    held = spark.sql(f"SHOW PARTITIONS {table}").select(value.alias("p")).where(F.col("p").between(lo, hi)).distinct()
+    loaded = rows.where(inside).select(F.col(period).cast("string").alias("p")).distinct()
+    # Names of partitions, known to the catalog; no rows of the table.
+    stale = [r["p"] for r in held.join(loaded, "p", "left_anti").collect()]
     # Only the session setting reaches a catalog table; the writer's option would be ignored.
     mode = spark.conf.get(_OVERWRITE_MODE)
     spark.conf.set(_OVERWRITE_MODE, "dynamic")
     try:
-        new.select(*columns).write.insertInto(table, overwrite=True)
+        rows.where(inside).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(_OVERWRITE_MODE, mode)
-    for name in names:
+    for name in stale:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({period} = '{name}')")
+    rows.where(~inside).write.insertInto(table)
 
 
 def rewrite_published(

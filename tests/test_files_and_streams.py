@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablemend.operators.upsert import dedupe_upsert
+from tablemend.plans import load
 from tablemend.session import scratch_path
 from tablemend.sinks import files as K
 from tablemend.sources import files as S
@@ -60,10 +61,10 @@ def test_periods_are_replaced_in_a_partitioned_table(spark):
     path = scratch_path(spark, "periods")
     old = spark.createDataFrame([(1, "202401"), (2, "202402"), (3, "202403"), (4, "202404")], "v int, ym string")
     old.write.partitionBy("ym").option("path", path).saveAsTable("periods")
-    new = spark.createDataFrame([(9, "202403")], "v int, ym string")
+    new = spark.createDataFrame([(9, "202403"), (8, "202404")], "v int, ym string")
     K.delete_window_insert(spark, "periods", new, "ym", "202402", "202403")
     try:
-        assert rows(spark.table("periods")) == [(1, "202401"), (4, "202404"), (9, "202403")]
+        assert rows(spark.table("periods")) == [(1, "202401"), (4, "202404"), (8, "202404"), (9, "202403")]
     finally:
         spark.sql("DROP TABLE periods")
 
@@ -123,3 +124,31 @@ def test_error_windows_are_half_open(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [(at("2024-01-01 00:00:00"), 3)]
     assert rows(jobs.error_counts(runs, "t", "10 minutes"), "error_count") == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("listed", [10_000, 0])
+def test_only_touched_partitions_are_rewritten(spark, listed, monkeypatch):
+    monkeypatch.setattr(load, "_LISTED_PARTITIONS", listed)
+    schema = "k int, v string, day string"
+    old = spark.createDataFrame([(1, "a", "20240101"), (2, "b", "20240102"), (3, "c", "20240103"), (6, "f", None)], schema)
+    new = spark.createDataFrame([(2, "B", "20240102"), (4, "d", "20240102"), (5, "e", "20240104"), (7, "g", None)], schema)
+    path = scratch_path(spark, "parted")
+    old.write.partitionBy("day").parquet(path)
+
+    def files(day):
+        return {f for f in spark.read.parquet(path).inputFiles() if f"day={day}" in f}
+
+    before = {day: files(day) for day in ("20240101", "20240102", "20240103")}
+    load.upsert_partitions(spark, path, new, ["k"], "day", scratch_path(spark, "parted-staging"))
+    got = rows(spark.read.schema(schema).parquet(path), "k", "v", "day")
+    assert got == [
+        (1, "a", "20240101"),
+        (2, "B", "20240102"),
+        (3, "c", "20240103"),
+        (4, "d", "20240102"),
+        (5, "e", "20240104"),
+        (6, "f", None),
+        (7, "g", None),
+    ]
+    assert files("20240101") == before["20240101"] and files("20240103") == before["20240103"]
+    assert files("20240102") != before["20240102"]
