@@ -47,14 +47,15 @@ def align_runs(source: DataFrame, target: DataFrame, since: str, by: str = "posi
     columns get the prefix `src_`; they are null where there is no partner.
     """
     job = ["pgmid", "jbpmt"]
+    order = [c for c in RUN_COLUMNS if c not in job]
     src, tgt = _since(source, since), _since(target, since)
     if by == "position":
-        order = [c for c in RUN_COLUMNS if c not in job]
-        src, tgt = numbered(src, job, order, "run_no"), numbered(tgt, job, order, "run_no")
+        both = src.withColumn("side", F.lit("source")).unionByName(tgt.withColumn("side", F.lit("target")))
+        placed = numbered(both, ["side", *job], order, "run_no")
+        src, tgt = (placed.where(F.col("side") == side).drop("side") for side in ("source", "target"))
         matched = [*job, "run_no"]
     elif by == "first":
-        earliest = F.min(F.struct(*[F.col(c) for c in RUN_COLUMNS if c not in job])).alias("run")
-        src = src.groupBy(*job).agg(earliest).select(*job, "run.*")
+        src = src.groupBy(*job).agg(F.min(F.struct(*order)).alias("run")).select(*job, "run.*")
         matched = job
     else:
         raise ValueError(f"unknown alignment {by}")
