@@ -28,6 +28,9 @@ def build_session(app_name: str, cpus: int | str = "*", **conf: str) -> SparkSes
     return spark
 
 
+_local_bases: dict[str, str] = {}
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by the cluster.
 
@@ -37,11 +40,12 @@ def checkpoint_base(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="tablemend-")
-    spark.conf.set(CHECKPOINT_CONF, base)
-    return base
+    if context.applicationId not in _local_bases:
+        _local_bases[context.applicationId] = tempfile.mkdtemp(prefix="tablemend-")
+    return _local_bases[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

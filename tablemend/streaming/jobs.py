@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tablemend.functions.predicates import is_error
 from tablemend.functions.times import instant_as_wall, wall_as_instant
@@ -18,6 +18,12 @@ from tablemend.operators.dedupe import latest_per_key
 from tablemend.operators.upsert import dedupe_upsert
 
 
+def _started(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+    """Run to the end of the files at hand, or go on in the given rhythm."""
+    rhythm = {"availableNow": True} if every is None else {"processingTime": every}
+    return writer.option("checkpointLocation", checkpoint).trigger(**rhythm).start()
+
+
 def _batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch={batch_id}"
 
@@ -28,7 +34,7 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, files_p
 
 
 def stream_upsert(
-    landing: DataFrame, keys: list[str], order: list[str], changes: str, checkpoint: str
+    landing: DataFrame, keys: list[str], order: list[str], changes: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Collect the latest rows per key of every micro-batch in the change folder.
 
@@ -39,12 +45,7 @@ def stream_upsert(
     def write(batch: DataFrame, batch_id: int) -> None:
         latest_per_key(batch, keys, order).write.mode("overwrite").parquet(_batch_folder(changes, batch_id))
 
-    return (
-        landing.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(landing.writeStream.foreachBatch(write), checkpoint, every)
 
 
 def current_table(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -74,7 +75,14 @@ def error_counts(events: DataFrame, ts: str, width: str, lateness: str | None =
 
 
 def stream_error_counts(
-    events: DataFrame, ts: str, width: str, lateness: str, counts: str, checkpoint: str, status: str = "st"
+    events: DataFrame,
+    ts: str,
+    width: str,
+    lateness: str,
+    counts: str,
+    checkpoint: str,
+    status: str = "st",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Error counts of a stream; every micro-batch writes the windows it changed.
 
@@ -85,14 +93,8 @@ def stream_error_counts(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_batch_folder(counts, batch_id))
 
-    return (
-        error_counts(events, ts, width, lateness, status)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    counted = error_counts(events, ts, width, lateness, status)
+    return _started(counted.writeStream.outputMode("update").foreachBatch(write), checkpoint, every)
 
 
 def final_counts(counts: DataFrame) -> DataFrame:
