@@ -139,6 +139,21 @@ def incremental_load(spark, sf_dir):
     return load.incremental_load(target, staged, X.KEYS, "chg_dtm", X.ORDER_WINDOW)
 
 
+@query(
+    f"""{X.COPIES_SQL}, c AS (SELECT * FROM s WHERE chg_dtm {X.IN_ORDERS})
+ {upsert_sql('SELECT * FROM t', 'SELECT * FROM c')}"""
+)
+def upsert_partitions(spark, sf_dir):
+    """Target in a folder per order month, of which the change set touches some."""
+    held = X.table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("ym"))
+    target = X.target_orders(spark, sf_dir).join(held, "o_orderkey")
+    changes = X.source_orders(spark, sf_dir).where(P.in_window("chg_dtm", X.ORDER_WINDOW)).join(held, "o_orderkey")
+    path = scratch_path(spark, "months")
+    target.hint("rebalance", "ym").write.partitionBy("ym").parquet(path)
+    load.upsert_partitions(spark, path, changes, X.KEYS, "ym", scratch_path(spark, "months-staging"))
+    return spark.read.parquet(path).drop("ym")
+
+
 @query(f"{X.COPIES_SQL} SELECT * FROM t WHERE o_orderkey IN (SELECT o_orderkey FROM s)")
 def sync_deletes(spark, sf_dir):
     return U.sync_deletes(X.target_orders(spark, sf_dir), X.source_orders(spark, sf_dir), X.KEYS)

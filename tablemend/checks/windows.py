@@ -32,7 +32,12 @@ def window_closed(spark, sf_dir):
 
 @query(f"{_ORDER_DAYS} >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'")
 def window_half_open(spark, sf_dir):
-    return scans.read_window(_order_days(spark, sf_dir), "o_orderdate", X.ORDER_WINDOW, "half_open")
+    return _order_days(spark, sf_dir).where(P.in_half_open("o_orderdate", X.ORDER_WINDOW))
+
+
+@query(f"{_ORDER_DAYS} >= TIMESTAMP '1999-06-01'")
+def window_open_ended(spark, sf_dir):
+    return _order_days(spark, sf_dir).where(P.from_instant("o_orderdate", "1999-06-01 00:00:00"))
 
 
 @query(f"{_ORDER_DAYS} >= TIMESTAMP '1999-01-01'")

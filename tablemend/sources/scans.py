@@ -67,7 +67,13 @@ def read_after_key(source: DataFrame, keys: list[str], last: DataFrame | None =
     """
     if last is None:
         return source
-    return source.where(F.struct(*keys) > last.select("mark").scalar())
+    mark = {k: last.select(F.col("mark")[k]).scalar() for k in keys}
+    *leading, final = keys
+    beyond = F.col(final) > mark[final]
+    for k in reversed(leading):
+        beyond = (F.col(k) > mark[k]) | ((F.col(k) == mark[k]) & beyond)
+    # The bound on the first key alone can be handed to the scan.
+    return source.where((F.col(keys[0]) >= mark[keys[0]]) & beyond)
 
 
 def next_mark(rows: DataFrame, keys: list[str]) -> DataFrame:
