@@ -14,12 +14,16 @@ _SPREAD = "__spread"
 _EXPANSION = 10
 
 
-def null_spread(df: DataFrame, keys: list[str]) -> Column:
-    """Zero for complete keys, a hash of the row for keys with a null part.
-
-    Such rows never match, so they need not meet in one shuffle partition.
+def spread(df: DataFrame, keys: list[str]) -> Column:
+    """Hash of a complete key, hash of the whole row for a key with a null part.
+
+    Joined along with the keys, it changes no match: equal keys have equal
+    hashes, and keys with a null part match nothing. It only keeps the latter
+    from meeting in one shuffle partition. It also makes each side of a join
+    shuffle for the join itself, the form in which adaptive execution can split
+    a large partition.
     """
-    return F.when(keys_present(keys), F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))
+    return F.when(keys_present(keys), F.xxhash64(*keys)).otherwise(F.xxhash64(*df.columns))
 
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,14 +33,19 @@ def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def rows_with_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `left` whose key occurs in `right`."""
-    return left.join(distinct_keys(right, keys), keys, "left_semi")
+    return _by_key(left, right, keys, "left_semi")
 
 
 def rows_without_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `left` whose key does not occur in `right`; null keys match nothing."""
-    marked = left.withColumn(_SPREAD, null_spread(left, keys))
-    known = distinct_keys(right, keys).withColumn(_SPREAD, F.lit(0).cast("long"))
-    return marked.join(known, [*keys, _SPREAD], "left_anti").drop(_SPREAD).select(*left.columns)
+    return _by_key(left, right, keys, "left_anti")
+
+
+def _by_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    known = distinct_keys(right, keys)
+    marked = left.withColumn(_SPREAD, spread(left, keys))
+    joined = marked.join(known.withColumn(_SPREAD, spread(known, keys)), [*keys, _SPREAD], how)
+    return joined.select(*left.columns)
 
 
 def rows_not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

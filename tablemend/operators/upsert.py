@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablemend.functions.predicates import keys_present
 from tablemend.operators.dedupe import latest_per_key
-from tablemend.operators.keys import is_small, null_spread, rows_with_key, rows_without_key
+from tablemend.operators.keys import is_small, rows_with_key, rows_without_key, spread
 
 _NEW = "__new_"
 _THERE, _GONE = "__in_source", "__removed"
@@ -29,14 +29,14 @@ def _merge(target: DataFrame, source: DataFrame, keys: list[str], columns: list[
         *[F.col(c).alias(_NEW + c) for c in columns],
         F.lit(True).alias(_THERE),
         _GONE,
-        null_spread(listed, keys).alias("__new_spread"),
+        spread(listed, keys).alias("__new_spread"),
     )
     on = [F.col(k) == F.col(_NEW + k) for k in keys]
     stays = ~F.coalesce(F.col(_GONE), F.lit(False))
     if not small:
         on.append(F.col("__spread") == F.col("__new_spread"))
-        spread = target.withColumn("__spread", null_spread(target, keys))
-        merged = spread.join(incoming, on, "full_outer").where(stays)
+        marked = target.withColumn("__spread", spread(target, keys))
+        merged = marked.join(incoming, on, "full_outer").where(stays)
         return merged.select(*_written(target, keys, columns))
     merged = target.join(F.broadcast(incoming), on, "left").where(stays).select(*_written(target, keys, columns))
     held = target.select(*keys).join(F.broadcast(listed.select(*keys)), keys, "left_semi")
