@@ -15,15 +15,17 @@ _EXPANSION = 10
 
 
 def spread(df: DataFrame, keys: list[str]) -> Column:
-    """Hash of a complete key, hash of the whole row for a key with a null part.
-
-    Joined along with the keys, it changes no match: equal keys have equal
-    hashes, and keys with a null part match nothing. It only keeps the latter
-    from meeting in one shuffle partition. It also makes each side of a join
-    shuffle for the join itself, the form in which adaptive execution can split
-    a large partition.
+    """Zero for a complete key, a hash of the row for a key with a null part.
+
+    Joined along with the keys, it changes no match, since keys with a null
+    part match nothing; it only keeps those rows from meeting in one shuffle
+    partition. The zero is a remainder by one: as a plain literal the optimizer
+    would take it out of the join keys again. Kept there, it also makes each
+    side shuffle for the join itself, the form in which adaptive execution can
+    split a large partition.
     """
-    return F.when(keys_present(keys), F.xxhash64(*keys)).otherwise(F.xxhash64(*df.columns))
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    return F.when(keys_present(keys), zero).otherwise(F.xxhash64(*df.columns))
 
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:

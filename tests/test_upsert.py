@@ -6,6 +6,7 @@ from frames import at, rows
 from tablemend.functions.windows import TimeWindow
 from tablemend.operators import dedupe as D
 from tablemend.operators import upsert as U
+from tablemend.operators.keys import rows_with_key, rows_without_key
 
 SCHEMA = "k long, a string, b string"
 
@@ -85,3 +86,11 @@ def test_latest_in_window_keeps_ties_and_skips_the_end(spark):
     df = spark.createDataFrame(data, "k int, t timestamp_ntz, v string")
     window = TimeWindow("2024-01-01 00:00:00", "2024-02-01 00:00:00")
     assert rows(D.latest_in_window(df, ["k"], "t", window), "v") == [("a",), ("b",)]
+
+
+def test_key_types_may_differ(spark, path):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(2, "B"), (3, "C")], "k long, v string")
+    assert rows(U.upsert(target, source, ["k"])) == [(1, "a"), (2, "B"), (3, "C")]
+    assert rows(rows_with_key(target, source, ["k"])) == [(2, "b")]
+    assert rows(rows_without_key(target, source, ["k"])) == [(1, "a")]
