@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import packing
+from tablemend.llm import packing, toxicity
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 VOCABULARY = "word_bpe_49k.json"
+TOXIC = 0.3
 
 
 @query()
@@ -23,3 +24,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         measures={"ids_crc32": F.crc32("ids")},
         keep_ids=False,
     )
+
+
+def in_fold(key: str = "doc_id") -> Column:
+    """Whether the fixed rule holds a row out: its key's checksum leaves 2 when divided by 4."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~in_fold()))
+    scored = docs.select("doc_id", in_fold().alias("held_out"), toxicity.score(model, "text").alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= TOXIC, 1).otherwise(0))
