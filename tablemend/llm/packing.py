@@ -13,6 +13,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from tablemend.session import materialize
 
 # Words whose ids a worker remembers; beyond that it starts anew, which changes the speed only.
-_REMEMBERED_WORDS = 400_000
+_REMEMBERED_WORDS = 800_000
 
 
 class WordIds:
@@ -38,16 +39,52 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        last = [i for word, i in self._tokenizer.get_vocab().items() if word.endswith("</w>")]
+        self._ends = np.zeros(self._tokenizer.get_vocab_size(), dtype=bool)
+        self._ends[last] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self._known) > _REMEMBERED_WORDS:
             self._known.clear()
+        self._learn(set().union(*split) - self._known.keys())
+        return [b"".join(map(self._known.__getitem__, words)) for words in split]
+
+    def _learn(self, words: set[str]) -> None:
+        """Find the ids of words not met before.
+
+        A comma or full stop behind a letter is a token of its own, and ASCII letters are lowered anyway, so such words
+        fall back on their core.
+        """
         known = self._known
-        missing = list({word for words in split for word in words if word not in known})
-        for word, found in zip(missing, self._tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            known[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        cores = {}
+        for word in words:
+            core = word[:-1] if len(word) > 1 and word[-1] in ",." and word[-2].isalpha() else word
+            cores[word] = core.lower() if core.isascii() else core
+        new = (set(cores.values()) | {",", "."}) - known.keys()
+        letters = [w for w in new if w.isalpha()]
+        rest = [w for w in new if not w.isalpha()]
+        known.update(zip(letters, self._in_one_text(letters), strict=True))
+        known.update(zip(rest, self._one_by_one(rest), strict=True))
+        for word, core in cores.items():
+            if word not in known:
+                known[word] = known[core] + known[word[-1]] if len(word) > len(core) else known[core]
+
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch(words, add_special_tokens=False)
+        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+
+    def _in_one_text(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, each of which has one id that ends a word, its last."""
+        if not words:
+            return []
+        ids = np.array(self._tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._one_by_one(words)
+        packed = ids.tobytes()
+        starts = [0, *ends[:-1].tolist()]
+        return [packed[4 * a : 4 * b] for a, b in zip(starts, ends.tolist(), strict=True)]
 
 
 _encoders: dict[str, WordIds] = {}
