@@ -54,12 +54,13 @@ class WordIds:
         """Find the ids of words not met before.
 
         A comma or full stop behind a letter is a token of its own, and ASCII letters are lowered anyway, so such words
-        fall back on their core.
+        fall back on their core. (Lowered, a few letters end in a combining mark, which joins the comma's token.)
         """
         known = self._known
         cores = {}
         for word in words:
-            core = word[:-1] if len(word) > 1 and word[-1] in ",." and word[-2].isalpha() else word
+            apart = len(word) > 1 and word[-1] in ",." and word[-2].isalpha() and word[-2].lower().isalpha()
+            core = word[:-1] if apart else word
             cores[word] = core.lower() if core.isascii() else core
         new = (set(cores.values()) | {",", "."}) - known.keys()
         letters = [w for w in new if w.isalpha()]
