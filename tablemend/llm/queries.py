@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import packing, toxicity
+from tablemend.llm import packing, simhash, toxicity
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -38,3 +38,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~in_fold()))
     scored = docs.select("doc_id", in_fold().alias("held_out"), toxicity.score(model, "text").alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= TOXIC, 1).otherwise(0))
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents over three-word shingles and the components at three bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=3)
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
