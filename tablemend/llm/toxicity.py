@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ _LEAST_WEIGHT = 0.01
 # Words whose weight a worker remembers; beyond that it starts anew.
 _REMEMBERED_WORDS = 600_000
 _PREFIXES = range(3, 10)
+_DOCS_AT_ONCE = 250
 
 
 def features(word: str) -> list[str]:
@@ -99,8 +101,8 @@ def fit(
     label: str = "toxic",
     text: str = "text",
     key: str = "doc_id",
-    rows_per_class: int = 2500,
-    longest: int = 20_000,
+    rows_per_class: int = 2000,
+    longest: int = 6000,
     least_documents: int = 5,
     rounds: int = 150,
 ) -> Model:
@@ -130,11 +132,11 @@ def _descend(
 ) -> Model:
     """Adam on the weighted log loss of the noisy-or."""
     number: dict[str, int] = {}
-    sentence_doc, at, word = [], [], []
+    sentence_doc, at, word = array("q"), array("q"), array("q")
     for d, text in enumerate(texts):
         for words in [w for s in _END.split(text.lower()) if (w := _WORD.findall(s))] or [[]]:
-            word += [number.setdefault(w, len(number)) for w in words]
-            at += [len(sentence_doc)] * len(words)
+            word.extend([number.setdefault(w, len(number)) for w in words])
+            at.extend([len(sentence_doc)] * len(words))
             sentence_doc.append(d)
     doc, at, word = (np.array(x, dtype=np.int64) for x in (sentence_doc, at, word))
     names: dict[str, int] = {}
@@ -168,14 +170,20 @@ def _frequent(
     doc: np.ndarray, word: np.ndarray, of_word: np.ndarray, feature: np.ndarray, n_features: int, least: int
 ) -> np.ndarray:
     """A new number for each feature that enough documents have, -1 for the others."""
-    pairs = np.unique(doc * (word.max(initial=0) + 1) + word)
     n_words = word.max(initial=0) + 1
+    pairs = np.unique(doc * n_words + word)
     first = np.searchsorted(of_word, np.arange(n_words + 1))
-    sizes = np.diff(first)[pairs % n_words]
-    steps = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    found = feature[np.repeat(first[pairs % n_words], sizes) + steps]
-    seen = np.unique(np.repeat(pairs // n_words, sizes) * n_features + found) % max(n_features, 1)
-    enough = np.bincount(seen, minlength=n_features) >= least
+    seen = np.zeros(n_features, dtype=np.int64)
+    # Some documents at a time, for the sake of memory.
+    edges = np.searchsorted(pairs // n_words, np.arange(0, doc.max(initial=0) + _DOCS_AT_ONCE + 1, _DOCS_AT_ONCE))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        in_doc, in_word = np.divmod(pairs[a:b], n_words)
+        sizes = np.diff(first)[in_word]
+        steps = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        found = feature[np.repeat(first[in_word], sizes) + steps]
+        once = np.unique(np.repeat(in_doc, sizes) * n_features + found) % max(n_features, 1)
+        seen += np.bincount(once, minlength=n_features)
+    enough = seen >= least
     return np.where(enough, np.cumsum(enough) - 1, -1)
 
 
