@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import packing, simhash, toxicity
+from tablemend.llm import lines, mixing, packing, simhash, toxicity
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -45,3 +45,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents over three-word shingles and the components at three bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=3)
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query(lines.OP1_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents before and after repeated runs of three are gone."""
+    found = lines.dedupe_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "found.n_lines", "found.removed_lines", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+@query()
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as often as sources mixed to at most two rounds ask for."""
+    found = mixing.mix(table(spark, sf_dir, "documents"), most=2.0)
+    return found.select("doc_id", "source", F.col("drawn.round").alias("round"), F.col("drawn.place").alias("block_rank"))

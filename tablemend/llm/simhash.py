@@ -253,6 +253,21 @@ def near_duplicates(
     return joined.select(key, "fingerprint", F.col("smallest").alias("component"))
 
 
+def representatives(
+    docs: DataFrame, words: int = 5, bits: int = 3, largest: int = 4096, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: the one with the smallest key.
+
+    Of rows that repeat that key, the one whose text comes first stays. Rows without a key are groups of their own.
+    """
+    found = near_duplicates(docs.where(F.col(key).isNotNull()), words, bits, largest, text, key)
+    chosen = found.where(F.col(key) == F.col("component")).select(F.col(key).alias("kept_key")).distinct()
+    kept = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc"), F.col(text).alias("words"))
+    once = kept.join(chosen, F.col("doc") == F.col("kept_key"), "left_semi")
+    first = once.groupBy("doc").agg(F.min_by("row", F.coalesce("words", F.lit(""))).alias("row"))
+    return first.select("row").unionByName(kept.where(F.col("doc").isNull()).select("row")).select("row.*")
+
+
 def as_hex(code: str | Column) -> Column:
     """16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(code), 16, "0"))
