@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import lines, mixing, packing, simhash, toxicity
+from tablemend.llm import fingerprints, lines, mixing, packing, search, simhash, toxicity
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
+from tablemend.session import materialize
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -59,3 +60,69 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as often as sources mixed to at most two rounds ask for."""
     found = mixing.mix(table(spark, sf_dir, "documents"), most=2.0)
     return found.select("doc_id", "source", F.col("drawn.round").alias("round"), F.col("drawn.place").alias("block_rank"))
+
+
+OP10_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    list_sum(list_transform(list_zip(q.w, v.w), lambda p: p[1] * p[2])) AS score
+  FROM whole q JOIN whole v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(OP10_SQL)
+def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    whole = table(spark, sf_dir, "embeddings").where(
+        F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+    )
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    vectors = whole.select("vec_id", scaled.alias("weights"))
+    return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query()
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, and how like they are to those of half-edited texts and of the next documents."""
+    lexicons = fingerprints.Lexicons()
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = fingerprints.with_next(table(spark, sf_dir, "documents"), parts=min(1000, 4 * shuffles))
+    n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
+    digest = lambda text: F.lower(F.lpad(F.hex(F.xxhash64(text)), 16, "0"))
+    rows = materialize(
+        texts.withColumn("edited", edited).select(
+            "doc_id",
+            "place",
+            "next_place",
+            n.cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            fingerprints.terms("text", lexicons).alias("terms"),
+            fingerprints.terms("edited", lexicons).alias("edited_terms"),
+            digest("text").alias("text_hash"),
+            digest("edited").alias("edited_hash"),
+        ),
+        "terms",
+    )
+    versions = {"fingerprint": ("terms", "text_hash"), "edited_fingerprint": ("edited_terms", "edited_hash")}
+    found = materialize(
+        fingerprints.fingerprints(rows, versions, "place", "terms", lexicons).drop("terms", "edited_terms"), "imatch"
+    )
+    following = found.select(F.col("place").alias("at"), F.col("fingerprint").alias("next_fingerprint"))
+    return found.join(following, F.col("next_place") == F.col("at")).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
