@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import fingerprints, lines, mixing, packing, search, simhash, toxicity
+from tablemend.llm import fingerprints, lines, mixing, packing, passages, search, simhash, toxicity
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
 from tablemend.session import materialize
 
@@ -126,3 +126,9 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
+
+
+@query()
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 40 words that some earlier document, or the same one before, has alike."""
+    return passages.shared_passages(table(spark, sf_dir, "documents")).drop("passage")
