@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import fingerprints, lines, mixing, packing, passages, search, simhash, toxicity
+from tablemend.llm import (
+    fingerprints,
+    lines,
+    mixing,
+    packing,
+    passages,
+    search,
+    simhash,
+    toolcalls,
+    toxicity,
+    urls,
+)
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
 from tablemend.session import materialize
 
@@ -132,3 +143,175 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of at least 40 words that some earlier document, or the same one before, has alike."""
     return passages.shared_passages(table(spark, sf_dir, "documents")).drop("passage")
+
+
+# Tools that the calls of op9 name, a row for each field.
+TOOL_FIELDS = [
+    ("search", "query", "string", True),
+    ("search", "limit", "integer", True),
+    ("translate", "text", "string", True),
+    ("translate", "target", "string", True),
+    ("lookup", "key", "string", True),
+    ("lookup", "exact", "boolean", False),
+]
+
+OP9_SQL = """
+WITH calls AS (
+  SELECT conv_id, 'c' || turn AS call_id, turn, length(text) AS n,
+    CAST(to_json(substr(text, 1, 40)) AS VARCHAR) AS head, (turn // 2) % 3 AS kind
+  FROM conversations WHERE role = 'assistant'),
+given AS (
+  SELECT *, CASE n % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'translate' WHEN 2 THEN 'lookup' ELSE 'mystery' END AS name,
+    CASE WHEN kind = 0 THEN ['c' || (turn + 2)] WHEN kind = 2 THEN ['c' || (turn - 2)] ELSE [] END AS uses FROM calls),
+argued AS (
+  SELECT *,
+    CASE WHEN n % 11 = 0 THEN '"oops"'
+      WHEN name = 'search' AND n % 7 = 0 THEN '{"limit":"many","query":' || head || '}'
+      WHEN name = 'search' THEN '{"limit":' || n || ',"query":' || head || '}'
+      WHEN name = 'translate' AND n % 5 = 0 THEN '{"text":' || head || '}'
+      WHEN name = 'translate' THEN '{"target":"en","text":' || head || '}'
+      WHEN name = 'lookup' AND n % 3 = 0 THEN '{"exact":true,"fuzzy":1.5,"key":' || head || '}'
+      WHEN name = 'lookup' THEN '{"exact":false,"key":' || head || '}'
+      ELSE '{}' END AS arguments,
+    CASE WHEN name = 'mystery' THEN 'unknown_tool'
+      WHEN n % 11 = 0 THEN 'not_json'
+      WHEN name = 'search' AND n % 7 = 0 THEN 'kind:limit'
+      WHEN name = 'translate' AND n % 5 = 0 THEN 'missing:target'
+      WHEN name = 'lookup' AND n % 3 = 0 THEN 'unknown:fuzzy'
+      ELSE '' END AS problems
+  FROM given),
+results AS (
+  SELECT conv_id, 'c' || (turn - 1) AS call_id, turn AS result_turn, text AS content
+  FROM conversations WHERE role = 'user' AND turn > 0),
+used AS (
+  SELECT a.*, b.turn AS used_turn, b.uses AS used_uses
+  FROM argued a LEFT JOIN argued b ON b.conv_id = a.conv_id AND b.call_id = a.uses[1]),
+placed AS (
+  SELECT *, CASE WHEN used_turn >= turn THEN used_turn + 1 ELSE turn END AS first_place FROM used),
+twice AS (
+  SELECT p.*, CASE WHEN q.first_place >= p.first_place THEN q.first_place + 1 ELSE p.first_place END AS place
+  FROM placed p LEFT JOIN placed q ON q.conv_id = p.conv_id AND q.call_id = p.uses[1]),
+joined AS (
+  SELECT coalesce(t.conv_id, r.conv_id) AS conv_id, coalesce(t.call_id, r.call_id) AS call_id, t.name, t.arguments,
+    r.content, coalesce(t.place, r.result_turn) AS place,
+    CASE WHEN t.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+    CASE WHEN len(t.uses) > 0 AND t.used_turn IS NULL THEN 'missing'
+      WHEN t.place > t.turn THEN 'moved' ELSE 'as_given' END AS sequence,
+    coalesce(t.problems, '') AS problems
+  FROM twice t FULL JOIN results r ON r.conv_id = t.conv_id AND r.call_id = t.call_id)
+SELECT conv_id, CAST(place AS BIGINT) AS place, 0 AS part, call_id, status, sequence, problems,
+  '{"arguments":' || arguments || ',"call_id":"' || call_id || '","name":"' || name || '","role":"assistant"}' AS line
+FROM joined WHERE status <> 'no_call'
+UNION ALL
+SELECT conv_id, CAST(place AS BIGINT), 1, call_id, status, sequence, problems,
+  '{"call_id":"' || call_id || '","content":' || CAST(to_json(content) AS VARCHAR) || ',"role":"tool"}'
+FROM joined WHERE status <> 'no_result'
+"""
+
+
+@query(OP9_SQL)
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of the tool calls that assistants' turns stand for, with the user's next turn as the result.
+
+    What a call is named, given and built on follows from the length and the place of its turn.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    n, head = F.length("text"), toolcalls.quoted(F.substring("text", 1, 40))
+    name = F.element_at(F.array(*map(F.lit, ("search", "translate", "lookup", "mystery"))), (n % 4 + 1).cast("int"))
+    kind = F.floor(F.col("turn") / 2) % 3
+
+    def given(form: str) -> Column:
+        return F.format_string(form, head)
+
+    arguments = (
+        F.when(n % 11 == 0, "oops")
+        .when((n % 4 == 0) & (n % 7 == 0), given('{"query": %s, "limit": "many"}'))
+        .when(n % 4 == 0, F.format_string('{"query": %s, "limit": %d}', head, n))
+        .when((n % 4 == 1) & (n % 5 == 0), given('{"text": %s}'))
+        .when(n % 4 == 1, given('{"text": %s, "target": "en"}'))
+        .when((n % 4 == 2) & (n % 3 == 0), given('{"key": %s, "fuzzy": 1.50, "exact": true}'))
+        .when(n % 4 == 2, given('{"key": %s, "exact": false}'))
+        .otherwise("{ }")
+    )
+
+    def call_id(shift: int) -> Column:
+        return F.concat(F.lit("c"), F.col("turn") + shift)
+
+    uses = F.when(kind == 0, F.array(call_id(2))).when(kind == 2, F.array(call_id(-2))).otherwise(F.array().cast("array<string>"))
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id", call_id(0).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), uses.alias("uses")
+    )
+    results = turns.where("role = 'user' AND turn > 0").select(
+        "conv_id", call_id(-1).alias("call_id"), "turn", F.col("text").alias("content")
+    )
+    schemas = spark.createDataFrame(TOOL_FIELDS, "tool string, field string, kind string, required boolean")
+    links = toolcalls.ordered(toolcalls.linked(calls, results))
+    lines_ = toolcalls.messages(toolcalls.validated(links, schemas))
+    return lines_.select(
+        "conv_id", "place", "part", "call_id", "status", F.col("order").alias("sequence"),
+        F.array_join("problems", ",").alias("problems"), "line",
+    )
+
+
+OP7_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * ((page_id * 37) % 8760) AS fetched_at,
+    lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host,
+    regexp_replace(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/+$', '') AS path
+  FROM pages),
+hosts AS (SELECT host, min(page_id) AS m FROM captures GROUP BY host),
+dated AS (
+  SELECT 'hosts' AS list, host AS pattern, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (m % 200) AS valid_from,
+    TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (m % 200 + 60) AS valid_to FROM hosts WHERE m % 3 <> 0
+  UNION ALL
+  SELECT 'hosts', host, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (m % 200 + 120), TIMESTAMP '9999-12-31'
+  FROM hosts WHERE m % 3 = 1
+  UNION ALL
+  SELECT 'paths', host || '/en', TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (m % 50), TIMESTAMP '9999-12-31'
+  FROM hosts WHERE m % 2 = 0
+  UNION ALL
+  SELECT 'domains', regexp_replace(host, '^[^.]*\.', ''), TIMESTAMP '2024-07-01', TIMESTAMP '2024-10-01'
+  FROM hosts GROUP BY regexp_replace(host, '^[^.]*\.', '') HAVING min(m) % 4 = 1),
+hits AS (
+  SELECT c.page_id, d.list, d.pattern FROM captures c JOIN dated d
+    ON (c.host = d.pattern OR ends_with(c.host, '.' || d.pattern)
+      OR starts_with(c.host || c.path || '/', d.pattern || '/'))
+    AND c.fetched_at >= d.valid_from AND c.fetched_at < d.valid_to),
+counted AS (SELECT page_id, count(*) AS hits, min({'a': list, 'b': pattern}) AS first FROM hits GROUP BY page_id)
+SELECT c.page_id, c.url, c.fetched_at, h.hits IS NOT NULL AS blocked, CAST(coalesce(h.hits, 0) AS BIGINT) AS hits,
+  h.first.a AS hit_list, h.first.b AS hit_pattern
+FROM captures c LEFT JOIN counted h ON h.page_id = c.page_id
+"""
+
+
+@query(OP7_SQL)
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against dated lists of hosts, paths and domains, which are drawn from the pages' own hosts."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+    def after(days: Column) -> Column:
+        return start + F.make_dt_interval(days.cast("int"))
+
+    hours = F.make_dt_interval(hours=(F.col("page_id") * 37 % 8760).cast("int"))
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", (start + hours).alias("fetched_at"))
+    hosts = captures.groupBy(urls.host("url").alias("host")).agg(F.min("page_id").alias("m"))
+    domain = F.regexp_replace("host", r"^[^.]*\.", "")
+    domains = hosts.groupBy(domain.alias("host")).agg(F.min("m").alias("m")).where(F.col("m") % 4 == 1)
+    day = F.col("m") % 200
+
+    def entry(rows: DataFrame, name: str, pattern: Column, action: str, dated: Column) -> DataFrame:
+        return rows.select(
+            F.lit(name).alias("list"), pattern.alias("pattern"), F.lit(action).alias("action"), dated.alias("dated")
+        )
+
+    host = F.col("host")
+    listed = hosts.where(F.col("m") % 3 != 0)
+    entries = (
+        entry(listed, "hosts", host, "add", after(day))
+        .union(entry(listed, "hosts", host, "remove", after(day + 60)))
+        .union(entry(hosts.where(F.col("m") % 3 == 1), "hosts", host, "add", after(day + 120)))
+        .union(entry(hosts.where(F.col("m") % 2 == 0), "paths", F.concat(host, F.lit("/en")), "add", after(F.col("m") % 50)))
+        .union(entry(domains, "domains", host, "add", after(F.lit(182))))
+        .union(entry(domains, "domains", host, "remove", after(F.lit(274))))
+    )
+    return urls.judge(captures, materialize(entries, "entries"))
