@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablemend.llm.names import free_name
+
 _BREAK = "\n"
 
 
@@ -60,8 +62,8 @@ def _kept(lines: Column, starts: Column, size: int) -> Column:
 
 
 def dedupe_lines(docs: DataFrame, size: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All rows with their columns, `text` without repeated runs of lines, and as a struct `found` the numbers
-    n_lines and removed_lines.
+    """All rows with their columns, `text` without repeated runs of lines, and as a struct `found` (underscores are added
+    where a column has that name) the numbers n_lines and removed_lines.
 
     Lines end at line feeds and are compared as they are. Rows of one key are ordered by a hash of their text; rows
     that repeat both are one document and keep or lose the same lines. Null keys come first. A null text stays null and
@@ -84,7 +86,7 @@ def dedupe_lines(docs: DataFrame, size: int = 3, text: str = "text", key: str =
         F.struct(
             total.alias("n_lines"),
             F.when(F.col("starts").isNull(), 0).otherwise(total - F.size("kept")).alias("removed_lines"),
-        ).alias("found"),
+        ).alias(free_name(docs.columns, "found")),
     )
 
 

@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablemend.llm.names import free_name
+
 # Halvings of the exponent's interval that one pass over the sources decides, and how many passes there are.
 _HALVINGS, _PASSES = 6, 7
 # Blocks of a source; the stride is odd, so that it visits each of them once.
@@ -135,7 +137,8 @@ def mix(
     key: str = "doc_id",
     source: str = "source",
 ) -> DataFrame:
-    """Rows with their columns as often as the weights ask for, and a struct `drawn` of round and order in it.
+    """Rows with their columns as often as the weights ask for, and a struct `drawn` (underscores are added where a column
+    has that name) of round and order in it.
 
     Every row comes at least once. A null source is a source of its own. Null and empty texts have no tokens: they cost
     no budget, and a source without tokens comes once. Rows that repeat key and source come together. `drawn.place` is
@@ -153,7 +156,7 @@ def mix(
     drawn = joined.select("row", "rank", "draw", F.explode(F.sequence(F.lit(0), last)).alias("round"))
     return drawn.select(
         *[F.col("row")[c].alias(c) for c in docs.columns],
-        F.struct("round", F.col("rank").alias("place"), "draw").alias("drawn"),
+        F.struct("round", F.col("rank").alias("place"), "draw").alias(free_name(docs.columns, "drawn")),
     )
 
 

@@ -127,8 +127,8 @@ def top_k(
 
     `weights` is an array of longs; missing positions at the end count as zero. Vectors and queries that are null or
     hold a null, and rows without a key, take no part. Fewer than k other vectors give all of them; ties go to the
-    smaller key; rows that repeat a vector are candidates of their own, but none of a query with their key. No queries
-    or no vectors give no rows. Scores that do not fit a long raise an error.
+    smaller key; rows that repeat a vector are candidates of their own, but none of a query with their key. Of queries
+    that repeat a key the least vector is taken. No queries or no vectors give no rows. Scores that do not fit a long raise an error.
 
     Shards and blocks of queries have a bounded number of rows; every pair of them is searched by a task of its own.
     """
@@ -141,7 +141,8 @@ def top_k(
         return _packed(numbered, "group", "key", "weights"), n
 
     shards, n_shards = grouped(vectors, shard_rows)
-    blocks, n_blocks = grouped(queries, block_rows)
+    once = queries.where(whole).groupBy(key).agg(F.min(weights).alias(weights))
+    blocks, n_blocks = grouped(once, block_rows)
     cells = (
         shards.select(*[F.col(c).alias(f"shard_{c}") for c in shards.columns])
         .withColumn("block", _numbers(n_blocks))

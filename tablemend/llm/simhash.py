@@ -174,9 +174,11 @@ def groups(codes: DataFrame, bits: int, largest: int) -> DataFrame:
     parts = bits + 1
     parents, rows, found = [0], codes.select("code", F.lit(0).cast("long").alias("mask")), None
     while True:
-        keyed = materialize(_keyed(rows, parents, parts), "blocks")
+        # Masks of different parents may coincide from the second level on.
+        keyed = _keyed(rows, parents, parts)
+        keyed = materialize(keyed if found is None else keyed.distinct(), "blocks")
         counted = keyed.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
-        parents = [m for p in parents for m in _masks(p, parts)]
+        parents = sorted({m for p in parents for m in _masks(p, parts)})
         last = 64 - min(m.bit_count() for m in parents) <= max(15, parts)
         small = counted if last else counted.where(F.col("n") <= largest)
         here = keyed.join(small.drop("n"), ["mask", "value"], "left_semi")
@@ -225,6 +227,16 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held).view(np.uint64)
 
 
+def _classes(docs: DataFrame, words: int, bits: int, largest: int, text: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc, mark, fingerprint), `mark` being a hash of the text, and the root of every fingerprint (code, root)."""
+    slim = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    hashed = materialize(with_fingerprint(slim, words, "text", "fingerprint").drop("text"), "simhash")
+    codes = materialize(hashed.select(F.col("fingerprint").alias("code")).distinct(), "fingerprints")
+    parts = components(linked(codes, bits, largest))
+    placed = codes.join(parts, F.col("code") == F.col("node"), "left")
+    return hashed, materialize(placed.select("code", F.coalesce("component", "code").alias("root")), "roots")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -239,33 +251,32 @@ def near_duplicates(
     like any other; repeated rows share fingerprint and component. Null keys take part but are no component's smallest
     key unless it has no other. An empty table gives an empty result.
     """
-    hashed = materialize(with_fingerprint(docs.select(key, text), words, text, "fingerprint").drop(text), "simhash")
-    least = materialize(
-        hashed.groupBy(F.col("fingerprint").alias("code")).agg(F.min(key).alias("least_key")), "fingerprints"
-    )
-    parts = components(linked(least, bits, largest))
-    placed = least.join(parts, F.col("code") == F.col("node"), "left").select(
-        "code", "least_key", F.coalesce("component", "code").alias("root")
-    )
-    smallest = placed.groupBy("root").agg(F.min("least_key").alias("smallest"))
-    of_code = materialize(placed.join(smallest, "root").select("code", "smallest"), "components")
-    joined = hashed.join(of_code, F.col("fingerprint") == F.col("code"))
-    return joined.select(key, "fingerprint", F.col("smallest").alias("component"))
+    hashed, of_code = _classes(docs, words, bits, largest, text, key)
+    least = hashed.groupBy("fingerprint").agg(F.min("doc").alias("least"))
+    rooted = of_code.join(least, F.col("code") == F.col("fingerprint")).select("code", "root", "least")
+    smallest = rooted.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("smallest"))
+    found = materialize(rooted.join(smallest, F.col("root") == F.col("of")).select("code", "smallest"), "components")
+    joined = hashed.join(found, F.col("fingerprint") == F.col("code"))
+    return joined.select(F.col("doc").alias(key), "fingerprint", F.col("smallest").alias("component"))
 
 
 def representatives(
     docs: DataFrame, words: int = 5, bits: int = 3, largest: int = 4096, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """One row of each group of near-duplicates, with all its columns: the one with the smallest key.
+    """One row of each group of near-duplicates, with all its columns: the one with the smallest key, nulls first.
 
-    Of rows that repeat that key, the one whose text comes first stays. Rows without a key are groups of their own.
+    Of rows of that key with different texts one stays, told by a hash of the text; of rows that repeat both, any one.
     """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), words, bits, largest, text, key)
-    chosen = found.where(F.col(key) == F.col("component")).select(F.col(key).alias("kept_key")).distinct()
-    kept = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc"), F.col(text).alias("words"))
-    once = kept.join(chosen, F.col("doc") == F.col("kept_key"), "left_semi")
-    first = once.groupBy("doc").agg(F.min_by("row", F.coalesce("words", F.lit(""))).alias("row"))
-    return first.select("row").unionByName(kept.where(F.col("doc").isNull()).select("row")).select("row.*")
+    hashed, of_code = _classes(docs, words, bits, largest, text, key)
+    first = hashed.groupBy("fingerprint").agg(F.min(F.struct("doc", "mark")).alias("first"))
+    rooted = of_code.join(first, F.col("code") == F.col("fingerprint"))
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc").alias("kept_doc"), F.col("first.mark").alias("kept_mark")
+    )
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc"), F.xxhash64(text).alias("mark"))
+    same = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("mark") == F.col("kept_mark"))
+    kept = rows.join(chosen, same, "left_semi").groupBy("doc", "mark").agg(F.first("row").alias("row"))
+    return kept.select("row.*")
 
 
 def as_hex(code: str | Column) -> Column:

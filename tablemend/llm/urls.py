@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablemend.llm.names import free_name
+
 _URL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)"
 # A URL of this host depth and path depth has at most their sum of keys.
 _FOREVER = "9999-12-31 00:00:00"
@@ -71,8 +73,8 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def listed_at_fetch(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at") -> DataFrame:
-    """Captures with their columns, each once for every interval that covers it at its fetch: `hit` (list, pattern,
-    valid_from, valid_to).
+    """Captures with their columns, each once for every interval that covers it at its fetch: `hit` (underscores are
+    added where a column has that name) with list, pattern, valid_from, valid_to.
 
     An interval holds from its start to just before its end. Captures without a URL, host or time are in no list. Rows
     that repeat are each judged. A frequent host makes a large group on the captures' side only; a pattern has as many
@@ -83,7 +85,7 @@ def listed_at_fetch(captures: DataFrame, entries: DataFrame, url: str = "url", f
     )
     valid = intervals(entries).withColumn("of", F.col("pattern"))
     covered = (F.col("key") == F.col("of")) & (F.col("at") >= F.col("valid_from")) & (F.col("at") < F.col("valid_to"))
-    return rows.join(valid, covered).select("row.*", F.struct("list", "pattern", "valid_from", "valid_to").alias("hit"))
+    return rows.join(valid, covered).select("row.*", F.struct("list", "pattern", "valid_from", "valid_to").alias(free_name(captures.columns, "hit")))
 
 
 def judge(
