@@ -6,12 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablemend.functions.predicates import keys_present
 
-_SPREAD = "__spread"
-# Parquet expands in memory; a side counts as small only with this much room.
-_EXPANSION = 10
+# Bytes a row takes in memory beside its values.
+_ROW_BYTES = 16
 
 
 def spread(df: DataFrame, keys: list[str]) -> Column:
@@ -28,35 +28,51 @@ def spread(df: DataFrame, keys: list[str]) -> Column:
     return F.when(keys_present(keys), zero).otherwise(F.xxhash64(*df.columns))
 
 
-def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Complete keys once each; partial aggregation thins copies before the shuffle."""
-    return df.select(*keys).where(keys_present(keys)).distinct()
-
-
 def rows_with_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of `left` whose key occurs in `right`."""
-    return _by_key(left, right, keys, "left_semi")
+    """Rows of `left` whose key occurs in `right`.
 
+    Null parts match nothing and are left out before the join, which then
+    costs one exchange a side, none for a side bucketed by the keys.
+    """
+    known = right.select(*keys).where(keys_present(keys))
+    return left.where(keys_present(keys)).join(known, keys, "left_semi").select(*left.columns)
 
-def rows_without_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of `left` whose key does not occur in `right`; null keys match nothing."""
-    return _by_key(left, right, keys, "left_anti")
 
+def rows_without_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `left` whose key does not occur in `right`; null keys match nothing.
 
-def _by_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    known = distinct_keys(right, keys)
-    marked = left.withColumn(_SPREAD, spread(left, keys))
-    joined = marked.join(known.withColumn(_SPREAD, spread(known, keys)), [*keys, _SPREAD], how)
-    return joined.select(*left.columns)
+    Rows of `left` without a complete key take no part in the join and are
+    added again, so they never meet in one partition.
+    """
+    known = right.select(*keys).where(keys_present(keys))
+    there = left.where(keys_present(keys)).join(known, keys, "left_anti").select(*left.columns)
+    return there.unionByName(left.where(~keys_present(keys)))
 
 
 def rows_not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """SQL `(keys) NOT IN (SELECT keys FROM right)`, nulls included.
 
     A row is dropped when some key of `right` could equal it, a null part on
-    either side standing for any value. Every set of columns with a null on one
-    of the sides gets an equality join on the columns that are left, so the
-    condition never turns into a comparison of all pairs.
+    either side standing for any value. Complete keys meet complete keys in one
+    anti join. Only rows and keys that hold a null, where there are any, go
+    through the joins by sets of null columns.
+    """
+    whole = keys_present(keys)
+    holed = right.select(*keys).where(~whole)
+    found = rows_without_key(left.where(whole), right, keys)
+    if not holed.isEmpty():
+        found = _not_in_by_nulls(found, holed, keys)
+    partial = left.where(~whole)
+    if partial.isEmpty():
+        return found
+    return found.unionByName(_not_in_by_nulls(partial, right, keys))
+
+
+def _not_in_by_nulls(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """NOT IN with an equality join for every set of columns that hold a null on one of the sides.
+
+    The join is on the columns that are left, so the condition never turns into
+    a comparison of all pairs.
     """
     bits = {k: 1 << i for i, k in enumerate(keys)}
 
@@ -91,20 +107,32 @@ def rows_not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     return rows.drop("__mask")
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size in memory of rows that are written already, from their number and the length of their values."""
+    fixed, varying = _ROW_BYTES, []
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            varying.append(F.sum(F.octet_length(F.col(field.name))))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            varying.append(F.sum(F.octet_length(F.to_json(F.struct(F.col(field.name))))))
+        else:
+            fixed += 16
+    total = df.agg(F.count("*"), *[F.coalesce(c, F.lit(0)) for c in varying]).first()
+    return total[0] * (fixed + 8 * len(varying)) + sum(total[1:])
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether rows that are written already are small enough to be sent to every executor."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return limit > 0 and measured_bytes(df) <= limit
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's estimate of the size of a result, where the session shows it."""
+    """The optimizer's estimate of the size of files, where the session shows it."""
     plan = getattr(df, "_jdf", None)
     return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the size estimate, with room to expand, allows a broadcast."""
-    size = estimated_bytes(df)
-    if size is None:
-        return False
-    return size * _EXPANSION <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
 def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
     """Mark for broadcast after counting, at most to the bound, that there are no more rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

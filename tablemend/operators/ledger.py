@@ -6,7 +6,8 @@ a key are merged before the shuffle, and every comparison is a filter on the
 grouped rows, so all of them together cost one exchange.
 
 Keys identify a row on either side. Should a key repeat, its latest change time
-in the window stands for it. Keys with a null part match nothing.
+in the window stands for it. Keys with a null part match nothing: every such
+row stays a group of its own.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ def max_time(df: DataFrame, ts: str) -> DataFrame:
 
 
 def _facts(df: DataFrame, keys: list[str], side: str, **facts: Column) -> DataFrame:
-    null_side = F.when(keys_present(keys), F.lit("")).otherwise(F.lit(side))
+    # The number tells rows of one side apart; it decides nothing else.
+    number = F.concat(F.lit(side), F.monotonically_increasing_id().cast("string"))
+    null_side = F.when(keys_present(keys), F.lit("")).otherwise(number)
     return df.select(*keys, null_side.alias(_SIDE), *[c.alias(name) for name, c in facts.items()])
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tablemend.functions.predicates import keys_present
 from tablemend.operators.dedupe import latest_per_key
-from tablemend.operators.keys import is_small, rows_with_key, rows_without_key, spread
+from tablemend.operators.keys import fits_broadcast, rows_with_key, rows_without_key, spread
+from tablemend.session import materialize
 
 _NEW = "__new_"
 _THERE, _GONE = "__in_source", "__removed"
@@ -20,28 +21,24 @@ _THERE, _GONE = "__in_source", "__removed"
 def _merge(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], removes: Column) -> DataFrame:
     """Target after writing the source rows, or removing their keys where `removes` holds.
 
-    A change set small enough to broadcast leaves the target unshuffled; a
-    larger one meets it in one full outer join.
+    The change set is written once and measured: one small enough to broadcast
+    leaves the target unshuffled, a larger one meets it in one full outer join.
     """
-    listed = source.select(*columns, removes.alias(_GONE))
-    small = is_small(source)
-    incoming = listed.select(
-        *[F.col(c).alias(_NEW + c) for c in columns],
-        F.lit(True).alias(_THERE),
-        _GONE,
-        spread(listed, keys).alias("__new_spread"),
-    )
+    listed = materialize(source.select(*columns, removes.alias(_GONE)), "changes")
+    incoming = listed.select(*[F.col(c).alias(_NEW + c) for c in columns], F.lit(True).alias(_THERE), _GONE)
     on = [F.col(k) == F.col(_NEW + k) for k in keys]
     stays = ~F.coalesce(F.col(_GONE), F.lit(False))
-    if not small:
+    if not fits_broadcast(listed):
+        incoming = incoming.withColumn("__new_spread", spread(incoming, [_NEW + k for k in keys]))
         on.append(F.col("__spread") == F.col("__new_spread"))
         marked = target.withColumn("__spread", spread(target, keys))
         merged = marked.join(incoming, on, "full_outer").where(stays)
         return merged.select(*_written(target, keys, columns))
     merged = target.join(F.broadcast(incoming), on, "left").where(stays).select(*_written(target, keys, columns))
-    held = target.select(*keys).join(F.broadcast(listed.select(*keys)), keys, "left_semi")
-    types = {f.name: f.dataType for f in target.schema}
+    # Keys of the change set that the target holds: no more of them than changes.
+    held = target.select(*keys).join(F.broadcast(listed.select(*keys)), keys, "left_semi").distinct()
     inserted = rows_without_key(listed, held, keys).where(~F.col(_GONE))
+    types = {f.name: f.dataType for f in target.schema}
     return merged.unionByName(
         inserted.select(
             *[(F.col(c) if c in columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns]
@@ -49,6 +46,11 @@ def _merge(target: DataFrame, source: DataFrame, keys: list[str], columns: list[
     )
 
 
+def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Complete keys that occur more than once, with their number `n`."""
+    return source.where(keys_present(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
 def _written(target: DataFrame, keys: list[str], columns: list[str]) -> list[Column]:
     """Target columns after the join: listed ones from the source where it has the key."""
     written = []
@@ -62,13 +64,19 @@ def _written(target: DataFrame, keys: list[str], columns: list[str]) -> list[Col
     return written
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: list[str], columns: list[str] | None = None, strict: bool = False
+) -> DataFrame:
     """Update the listed columns of matching rows and insert the others.
 
     Columns outside the list keep the target's values, and are null in inserted
     rows. Null keys never match: such target rows stay, such source rows are
-    inserted. The source holds each key once; see `dedupe_upsert`.
+    inserted. The source holds each key once, see `dedupe_upsert`: a key that it
+    repeats would repeat the target's row. `strict` looks for such keys first
+    and raises ValueError.
     """
+    if strict and not repeated_keys(source, keys).isEmpty():
+        raise ValueError("the source holds a key more than once")
     columns = list(dict.fromkeys([*keys, *(columns or [c for c in source.columns if c in target.columns])]))
     return _merge(target, source, keys, columns, F.lit(False))
 

@@ -28,10 +28,19 @@ def upsert_partitions(
     """Upsert into partitioned files, reading and writing the touched partitions alone.
 
     For tables too large to rewrite as a whole. A key stays in its partition
-    for life, as with a creation day. The merged partitions are complete in
-    the staging folder before the first old file is replaced.
+    for life, as with a creation day; a change set in which one moves raises
+    ValueError and changes nothing. Rows without a partition are one of their
+    own. The merged partitions are complete in the staging folder before the
+    first old file is replaced.
     """
     target = spark.read.parquet(path)
+    moved = (
+        target.select(*keys, partition)
+        .join(source.select(*keys, F.col(partition).alias("__new")), keys)
+        .where(~F.col(partition).eqNullSafe(F.col("__new")))
+    )
+    if not moved.isEmpty():
+        raise ValueError(f"a key of the change set is held in another partition of {path}")
     touched = source.select(partition).distinct()
     values = [r[0] for r in touched.limit(_LISTED_PARTITIONS + 1).collect()]
     unknown = F.col(partition).isNull()
@@ -40,7 +49,7 @@ def upsert_partitions(
         current = target.where(listed | unknown if None in values else listed)
     else:
         current = target.join(touched, partition, "left_semi").unionByName(target.where(unknown))
-    merged = upsert(current, source.select(*target.columns), [*keys, partition])
+    merged = upsert(current, source.select(*target.columns), keys)
     merged.hint("rebalance", partition).write.partitionBy(partition).parquet(staging)
     done = spark.read.schema(merged.schema).parquet(staging).select(*target.columns)
     done.write.partitionBy(partition).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)

@@ -42,7 +42,14 @@ def recompute_windows(
 
 
 def replace_days(mart: DataFrame, fresh: DataFrame, windows: DataFrame, label: str, day: str = "day") -> DataFrame:
-    """Mart with the days of the windows replaced by fresh rows."""
-    days = window_days(windows, label).select(F.col("day").alias(day)).distinct()
+    """Mart with the days of the windows replaced by fresh rows.
+
+    A day that several windows share comes with the rows of the first label
+    alone; equal rows of one label all stay.
+    """
+    labelled = window_days(windows, label).withColumnRenamed("day", day)
+    days = labelled.select(day).distinct()
     kept = mart.join(broadcast_if_short(days, _SHORT_DAYS), day, "left_anti")
-    return kept.unionByName(fresh.select(*mart.columns).distinct())
+    chosen = labelled.groupBy(day).agg(F.min(label).alias(label))
+    taken = fresh.join(broadcast_if_short(chosen, _SHORT_DAYS), [day, label], "left_semi")
+    return kept.unionByName(taken.select(*mart.columns))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablemend.functions.predicates import keys_present
-from tablemend.functions.times import day_last_second, day_start, ntz
+from tablemend.functions.times import day_start, ntz
 from tablemend.functions.windows import TimeWindow
 
 
@@ -36,9 +36,13 @@ def read_window(source: DataFrame, ts: str, window: TimeWindow, bounds: str = "c
     return source.where(conditions[bounds](column))
 
 
-def read_full_partitioned(source: DataFrame, key: str, n: int) -> DataFrame:
-    """Whole table in n key ranges: every row falls in one range, in any order of arrival."""
-    return source.repartitionByRange(n, key)
+def read_full_partitioned(source: DataFrame) -> DataFrame:
+    """Whole table, every row once, in the splits of its files.
+
+    Files are cut into tasks as they are, by `spark.sql.files.maxPartitionBytes`;
+    only a database needs key ranges, see `read_jdbc_partitioned`.
+    """
+    return source
 
 
 def read_jdbc_partitioned(
@@ -88,7 +92,7 @@ def read_required(source: DataFrame, columns: list[str], keys: list[str], ts: st
 
 def hourly_slices(source: DataFrame, ts: str, day: str) -> DataFrame:
     """One scan of a day with the hour each row belongs to; empty hours simply have no rows."""
-    start = ntz(day)
-    return source.where(F.col(ts).between(day_start(start), day_last_second(start))).withColumn(
+    start = day_start(ntz(day))
+    return source.where((F.col(ts) >= start) & (F.col(ts) < start + F.make_dt_interval(days=F.lit(1)))).withColumn(
         "slice_hour", F.hour(ts)
     )
