@@ -256,8 +256,8 @@ def _parity_sql(pairs: str) -> str:
  {', '.join(f'coalesce(CASE WHEN a.pgmid IS NOT NULL THEN a.{c} ELSE b.{c} END, 0) AS src_{c}' for c in _COUNTERS)},
  CASE WHEN a.pgmid IS NOT NULL THEN CASE WHEN {zero} THEN 'Y' ELSE 'N' END END AS match_yn,
  CASE WHEN a.pgmid IS NOT NULL THEN CASE WHEN {same} THEN 'Y' ELSE 'N' END END AS match_yn_reference,
- CASE WHEN a.pgmid IS NULL THEN concat('No data found for DB: [source] PGMID: ', b.pgmid, ', JBPMT: ',
- coalesce(b.jbpmt, 'None')) END AS err_msg FROM {pairs}"""
+ CASE WHEN a.pgmid IS NULL THEN concat('the source has no run of ', b.pgmid, ' with parameter ',
+ coalesce(b.jbpmt, '(none)')) END AS err_msg FROM {pairs}"""
 
 
 def _numbered_sql(rows: str) -> str:
@@ -327,8 +327,8 @@ def run_log_tail(spark, sf_dir):
 
 
 @query(
-    f"""SELECT pgmid, starttime, endtime, concat(pgmid, ' FAILED') AS msg_titl, concat(pgmid, ' failed. Start Time: ',
- CAST(starttime AS VARCHAR), ', End Time : ', CAST(endtime AS VARCHAR), ', Error: ', coalesce(right(msg, 100), 'None'))
+    f"""SELECT pgmid, starttime, endtime, concat('failed job ', pgmid) AS msg_titl, concat('job ', pgmid, ' ran from ',
+ CAST(starttime AS VARCHAR), ' to ', CAST(endtime AS VARCHAR), ' and ended in an error: ', coalesce(right(msg, 100), '?'))
  AS txt_cntn FROM ({X.RUNS_SQL}) WHERE st = 'ER' AND {_RUN_DAY.format('<=')}"""
 )
 def failure_messages(spark, sf_dir):

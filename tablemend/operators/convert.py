@@ -107,6 +107,7 @@ def audit_columns(user: str, address: str, at: str | Column) -> dict[str, Column
 
 def reshape_grades(df: DataFrame, month: str, user: str, address: str, at: str) -> DataFrame:
     """Customer grades in the layout of the operational grade table."""
+    # Names of the operational table's columns, here and in `audit_columns`.
     return reshape(
         df,
         {

@@ -5,6 +5,7 @@ Results are matched by table and column name.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -130,3 +131,49 @@ def check_catalog(count_list: DataFrame, sum_list: DataFrame, by_load_day: str)
     chosen = count_list.where((F.col("verification_yn") == "Y") & (F.col("etl_dtm_exist_yn") == by_load_day))
     sums = sum_list.where((F.col("sum_check_yn") == "Y") & (F.col("etl_dtm_exist_yn") == by_load_day))
     return chosen.select(*names).join(sums.select(*names, "column_name"), names, "left")
+
+
+def _log_names(full_name: Column) -> list[Column]:
+    """Schema and table of a full name."""
+    return [F.split_part(full_name, F.lit("."), F.lit(1)).alias("schema_name"), F.split_part(full_name, F.lit("."), F.lit(2)).alias("table_name")]
+
+
+def count_log(source: DataFrame, target: DataFrame, verify_date: str, database: str, by_load_day: str) -> DataFrame:
+    """Compared counts of profiles named `schema.table` as rows of the count log; no count is zero."""
+    compared = compare_counts(source, target)
+    return compared.select(
+        F.lit(verify_date).alias("verify_date"),
+        F.lit(database).alias("database_name"),
+        *_log_names(F.col("table_name")),
+        F.lit(by_load_day).alias("etl_dtm_exist_yn"),
+        or_zero(F.col("source_cnt")).alias("source_cnt"),
+        or_zero(F.col("target_cnt")).alias("target_cnt"),
+        "source_minus_target_cnt",
+    )
+
+
+def sum_log(source: DataFrame, target: DataFrame, verify_date: str, database: str, by_load_day: str) -> DataFrame:
+    """Compared column sums of profiles named `schema.table` as rows of the sum log."""
+    compared = compare_sums(source, target)
+    return compared.select(
+        F.lit(verify_date).alias("verify_date"),
+        F.lit(database).alias("database_name"),
+        *_log_names(F.col("table_name")),
+        "column_name",
+        F.lit(by_load_day).alias("etl_dtm_exist_yn"),
+        "source_sum",
+        "target_sum",
+        "source_minus_target_sum",
+    )
+
+
+def catalog_profiles(
+    catalog: DataFrame, open_table: Callable[[str], DataFrame], load_day: str | None = None, day: str | None = None
+) -> DataFrame:
+    """Profiles of the tables of a check catalog, with the sums it asks for; `load_day` limits them to a day."""
+    named = F.concat_ws(".", "schema_name", "table_name").alias("name")
+    # A row for each column to sum of each table that is checked.
+    rows = catalog.groupBy(named).agg(F.sort_array(F.collect_set("column_name")).alias("columns")).orderBy("name").collect()
+    tables = {r["name"]: open_table(r["name"]) for r in rows}
+    by_day = dict.fromkeys(tables, load_day) if load_day else None
+    return table_profiles(tables, {r["name"]: list(r["columns"]) for r in rows}, by_day, day)

@@ -15,6 +15,7 @@ from tablemend.functions.windows import TimeWindow
 from tablemend.operators.dedupe import latest_per_key
 from tablemend.operators.numbering import numbered
 
+# Fields of a run record.
 COUNTERS = ("readcnt", "bycnt", "errcnt", "updcnt", "wrtcnt")
 RUN_COLUMNS = ("pgmid", "starttime", "endtime", "st", "jbpmt", *COUNTERS)
 # Names of the mirrored run table, in the order of its columns.
@@ -87,10 +88,7 @@ def run_parity(source: DataFrame, target: DataFrame, day: str, since: str, by: s
         return F.when(paired, F.when(condition, "Y").otherwise("N"))
 
     message = F.concat(
-        F.lit("No data found for DB: [source] PGMID: "),
-        "pgmid",
-        F.lit(", JBPMT: "),
-        F.coalesce("jbpmt", F.lit("None")),
+        F.lit("the source has no run of "), "pgmid", F.lit(" with parameter "), F.coalesce("jbpmt", F.lit("(none)"))
     )
     return runs.select(
         F.lit(day).alias("smr_dt"),
@@ -136,19 +134,19 @@ def failure_messages(runs: DataFrame, window: TimeWindow, tail: int = 100) -> Da
     """Title and body of the notice for every failed run of the closed window."""
 
     def text(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+        return F.coalesce(F.col(c).cast("string"), F.lit("?"))
 
     body = F.format_string(
-        "%s failed. Start Time: %s, End Time : %s, Error: %s",
+        "job %s ran from %s to %s and ended in an error: %s",
         text("pgmid"),
         text("starttime"),
         text("endtime"),
-        F.coalesce(last_chars(F.col("msg"), tail), F.lit("None")),
+        F.coalesce(last_chars(F.col("msg"), tail), F.lit("?")),
     )
     return error_rows(runs, window, closed=True).select(
         "pgmid",
         "starttime",
         "endtime",
-        F.concat("pgmid", F.lit(" FAILED")).alias("msg_titl"),
+        F.concat(F.lit("failed job "), "pgmid").alias("msg_titl"),
         body.alias("txt_cntn"),
     )

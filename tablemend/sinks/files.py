@@ -90,8 +90,8 @@ def delete_window_insert(spark: SparkSession, table: str, new: DataFrame, period
         rows.where(inside).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(_OVERWRITE_MODE, mode)
-    for name in stale:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({period} = '{name}')")
+    if stale:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({period} = '{p}')" for p in stale))
     rows.where(~inside).write.insertInto(table)
 
 

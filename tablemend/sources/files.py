@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablemend.operators.keys import broadcast_if_short
+from tablemend.session import materialize
+
 # Encodings tried in this order; the last one reads any bytes.
 ENCODINGS = ("utf-8", "euc-kr", "cp949", "latin1")
 # A file name and its encoding take well under a kilobyte.
@@ -46,19 +49,31 @@ def _fields(lines: DataFrame, line: str, schema: T.StructType) -> DataFrame:
     return found.select(*[value[n].try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema)])
 
 
-def read_csv_skip_bad(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headerless CSV without the lines that have too many fields; short lines end in nulls."""
-    return _fields(spark.read.text(path), "value", schema)
+# A record: anything but quotes and line breaks, or quoted stretches, which may hold both.
+_RECORD = r"(?:[^\"\r\n]++|\"[^\"]*+\")++"
+
+
+def read_csv_skip_bad(spark: SparkSession, path: str, schema: T.StructType, breaks: bool = False) -> DataFrame:
+    """Headerless CSV without the records that have too many fields; short records end in nulls.
+
+    A record is a line. With `breaks`, quoted fields may hold line breaks; a
+    file is then read as a whole by one task, so files must be of a size that
+    fits, two gigabytes at most.
+    """
+    if not breaks:
+        return _fields(spark.read.text(path), "value", schema)
+    whole = spark.read.text(path, wholetext=True)
+    return _fields(whole.select(F.explode(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0))).alias("value")), "value", schema)
 
 
 @F.pandas_udf(T.StringType())
-def decode_with_fallback(values: pd.Series) -> pd.Series:
-    """Each binary value in the first encoding that reads it."""
+def _decode_foreign(values: pd.Series) -> pd.Series:
+    """Each binary value in the first encoding after UTF-8 that reads it."""
 
     def decode(value: bytes | None) -> str | None:
         if value is None:
             return None
-        for encoding in ENCODINGS:
+        for encoding in ENCODINGS[1:]:
             try:
                 return value.decode(encoding)
             except UnicodeDecodeError:
@@ -67,6 +82,13 @@ def decode_with_fallback(values: pd.Series) -> pd.Series:
     return values.map(decode)
 
 
+def decode_with_fallback(value: Column) -> Column:
+    """Each binary value in the first encoding that reads it; only what is not UTF-8 is sent to Python."""
+    text = value.cast("string")
+    valid = F.is_valid_utf8(text)
+    return F.when(valid, text).otherwise(_decode_foreign(F.when(~valid, value)))
+
+
 @F.pandas_udf(T.IntegerType())
 def _readable_mask(values: pd.Series) -> pd.Series:
     """One bit per encoding that reads the line."""
@@ -102,29 +124,30 @@ def read_text_with_fallback(spark: SparkSession, path: str) -> DataFrame:
     The encodings keep line breaks in single bytes, so large files are split
     and a file's verdict is the common one of its lines.
     """
-    source = spark.read.text(path)
-    files = source.inputFiles()
-    lines = source.select(
-        F.col("_metadata.file_path").alias("path"),
-        "value",
-        F.col("value").cast("binary").alias("raw"),
-        F.col("value").rlike(r"[^\x00-\x7F]").alias("needs_check"),
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), "value", F.col("value").cast("binary").alias("raw")
+    )
+    # Files that are UTF-8 throughout are known without Python and stay as they are.
+    foreign = materialize(
+        lines.where(~F.is_valid_utf8("value")).select(F.col("path").alias("foreign_path")).distinct(), "foreign"
+    )
+    found = lines.where(F.col("value").rlike(r"[^\x00-\x7F]")).join(
+        broadcast_if_short(foreign, _BROADCAST_FILES), F.col("path") == F.col("foreign_path")
     )
-    verdict = (
-        lines.where("needs_check")
-        .groupBy("path")
+    verdict = materialize(
+        found.groupBy("path")
         .agg(F.bit_and(_readable_mask("raw")).alias("mask"))
-        .select("path", _first_readable(F.col("mask")).alias("encoding"))
+        .select("path", _first_readable(F.col("mask")).alias("encoding")),
+        "encodings",
     )
-    if len(files) <= _BROADCAST_FILES:
-        joined = lines.join(F.broadcast(verdict), "path", "left")
+    short = broadcast_if_short(verdict, _BROADCAST_FILES)
+    if short is not verdict:
+        joined = lines.join(short, "path", "left")
     else:
         salted = lines.withColumn("salt", F.pmod(F.xxhash64("raw"), F.lit(_SALTS)).cast("int"))
         spread = verdict.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         joined = salted.join(spread, ["path", "salt"], "left")
-    # Text that is UTF-8 already stays where it is; only other bytes go to Python.
-    foreign = F.col("needs_check") & (F.col("encoding") != ENCODINGS[0])
-    decoded = _decode_as(F.when(foreign, F.col("raw")), "encoding")
+    decoded = _decode_as(F.when(F.col("encoding").isNotNull(), F.col("raw")), "encoding")
     return joined.select("path", F.coalesce(decoded, "value").alias("line"))
 
 

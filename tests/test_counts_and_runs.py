@@ -150,7 +150,7 @@ def test_run_parity_flags_and_missing_partner(spark):
     # Equal differences satisfy the looser flag only; the empty parameter is a missing one.
     assert flags == [("P", 0, 1, "N", "N", 1), ("P", 1, 1, "N", "Y", 2), ("Q", None, None, None, None, 5)]
     messages = [r["err_msg"] for r in got.collect() if r["err_msg"]]
-    assert messages == ["No data found for DB: [source] PGMID: Q, JBPMT: x"]
+    assert messages == ["the source has no run of Q with parameter x"]
     first = R.run_parity(source, target, "2024-01-01", since, by="first")
     assert rows(first, "pgmid", "readcnt_diff") == [("P", 1), ("P", 1), ("Q", None)]
 
@@ -164,4 +164,4 @@ def test_run_log_and_messages(spark):
     assert [(len(r["msg"] or ""), r["wrt_cnt"]) for r in tail] == [(100, 0), (0, 3)]
     texts = [r["txt_cntn"] for r in R.failure_messages(runs, window).orderBy("pgmid").collect()]
     assert texts[0].endswith("Error: " + "e" * 100)
-    assert texts[1] == "Q failed. Start Time: 2024-01-01 01:00:00, End Time : 2024-01-01 01:00:01, Error: None"
+    assert texts[1] == "job Q ran from 2024-01-01 01:00:00 to 2024-01-01 01:00:01 and ended in an error: ?"

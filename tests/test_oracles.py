@@ -5,8 +5,8 @@ from conftest import SF_DIR
 from oracle import compare, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, SQL = queries(), oracle_sql()
+from tablemend.checks import ORACLES as SQL
+from tablemend.checks import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,11 @@ def test_query_matches_sql(spark, con, name):
     compare(spark, con, SF_DIR, QUERIES[name], SQL[name])
 
 
+def test_all_of_them_are_registered():
+    assert QUERIES.items() <= queries().items()
+    assert SQL.items() <= oracle_sql().items()
+
+
 def test_entry_is_the_summary(spark):
     rows = entry(spark).collect()
     assert len(rows) == 1

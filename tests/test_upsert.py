@@ -94,3 +94,21 @@ def test_key_types_may_differ(spark, path):
     assert rows(U.upsert(target, source, ["k"])) == [(1, "a"), (2, "B"), (3, "C")]
     assert rows(rows_with_key(target, source, ["k"])) == [(2, "b")]
     assert rows(rows_without_key(target, source, ["k"])) == [(1, "a")]
+
+
+def test_keys_do_not_move_between_partitions(spark, tmp_path):
+    held = spark.createDataFrame([(1, "a", "d1"), (2, "b", None)], "k int, v string, d string")
+    held.write.partitionBy("d").parquet(f"{tmp_path}/t")
+    moving = spark.createDataFrame([(1, "A", "d2")], "k int, v string, d string")
+    with pytest.raises(ValueError, match="another partition"):
+        load.upsert_partitions(spark, f"{tmp_path}/t", moving, ["k"], "d", f"{tmp_path}/s1")
+    staying = spark.createDataFrame([(2, "B", None), (3, "C", "d1")], "k int, v string, d string")
+    load.upsert_partitions(spark, f"{tmp_path}/t", staying, ["k"], "d", f"{tmp_path}/s2")
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "k", "v", "d") == [(1, "a", "d1"), (2, "B", None), (3, "C", "d1")]
+
+
+def test_strict_upserts_refuse_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(ValueError, match="more than once"):
+        U.upsert(target, twice, ["k"], strict=True)
