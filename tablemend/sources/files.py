@@ -82,8 +82,9 @@ def _decode_foreign(values: pd.Series) -> pd.Series:
     return values.map(decode)
 
 
-def decode_with_fallback(value: Column) -> Column:
+def decode_with_fallback(value: str | Column) -> Column:
     """Each binary value in the first encoding that reads it; only what is not UTF-8 is sent to Python."""
+    value = F.col(value) if isinstance(value, str) else value
     text = value.cast("string")
     valid = F.is_valid_utf8(text)
     return F.when(valid, text).otherwise(_decode_foreign(F.when(~valid, value)))

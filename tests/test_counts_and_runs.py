@@ -163,5 +163,5 @@ def test_run_log_and_messages(spark):
     tail = R.tail_run_log(runs, window).orderBy("prg_nm").collect()
     assert [(len(r["msg"] or ""), r["wrt_cnt"]) for r in tail] == [(100, 0), (0, 3)]
     texts = [r["txt_cntn"] for r in R.failure_messages(runs, window).orderBy("pgmid").collect()]
-    assert texts[0].endswith("Error: " + "e" * 100)
+    assert texts[0].endswith("error: " + "e" * 100)
     assert texts[1] == "job Q ran from 2024-01-01 01:00:00 to 2024-01-01 01:00:01 and ended in an error: ?"
