@@ -44,11 +44,10 @@ def band(docs: DataFrame, lexicons: Lexicons, column: str = "terms") -> tuple[Da
     rows, so there are at most f times as many such terms as a row has terms on average, however many rows there are.
     """
     most = F.greatest(F.floor(F.count("*") * F.exp(F.lit(-lexicons.least_idf))), F.lit(lexicons.least_documents))
-    limit = docs.agg(most.alias("most"))
+    limit = docs.agg(most).scalar()
     counts = docs.select(F.explode(column).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    counts = counts.join(F.broadcast(limit), F.lit(True))
-    inside = counts.where((F.col("n") >= lexicons.least_documents) & (F.col("n") <= F.col("most"))).select("term")
-    return inside, counts.where(F.col("n") > F.col("most")).select("term")
+    inside = counts.where((F.col("n") >= lexicons.least_documents) & (F.col("n") <= limit)).select("term")
+    return inside, counts.where(F.col("n") > limit).select("term")
 
 
 def signature(found: str | Column, otherwise: str | Column, lexicons: Lexicons) -> Column:

@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablemend.llm.names import free_name
+from tablemend.session import materialize
 
 # Halvings of the exponent's interval that one pass over the sources decides, and how many passes there are.
 _HALVINGS, _PASSES = 6, 7
 # Blocks of a source; the stride is odd, so that it visits each of them once.
 _BLOCKS, _STRIDE = 1024, 389
+# Parts in which a source meets its plan.
+_SALTS = 61
 
 
 def tokens(text: str | Column) -> Column:
@@ -79,10 +82,11 @@ def plan(
     slim = docs.select(
         F.col(source).alias("of_source"), tokens(text).alias("n"), _draw(key, seed).alias("draw")
     ).withColumn("rank", _rank())
+    slim = materialize(slim, "tokens")
     # A source has a row for each of its blocks, however many documents it holds.
     blocks = slim.groupBy("of_source", "rank").agg(F.sum("n").alias("n"))
-    totals = blocks.groupBy("of_source").agg(F.sum("n").alias("n"))
-    sized = totals.join(F.broadcast(totals.agg(F.max("n").alias("largest"))), F.lit(True))
+    totals = materialize(blocks.groupBy("of_source").agg(F.sum("n").alias("n")), "sources")
+    sized = totals.withColumn("largest", totals.agg(F.max("n")).scalar())
     power = exponent(sized, most, entropy)
     repeats = F.when(F.col("n") > 0, F.pow(F.col("n") / F.col("largest"), F.lit(power - 1.0))).otherwise(1.0)
     budgets = sized.select(
@@ -91,10 +95,8 @@ def plan(
         ((repeats - F.floor(repeats)) * F.col("n")).alias("part"),
         (repeats * F.col("n")).alias("budget"),
     )
-    whole = budgets.agg(F.sum("budget").alias("whole"))
-    budgets = budgets.join(F.broadcast(whole), F.lit(True)).withColumn(
-        "weight", F.when(F.col("whole") > 0, F.col("budget") / F.col("whole")).otherwise(0.0)
-    )
+    whole = budgets.agg(F.sum("budget")).scalar()
+    budgets = budgets.withColumn("weight", F.when(whole > 0, F.col("budget") / whole).otherwise(0.0))
     # The block in which the part round ends: the first whose running total meets the budget.
     before = Window.partitionBy("of_source").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = blocks.withColumn("upto", F.sum("n").over(before))
@@ -148,7 +150,10 @@ def mix(
     rows = docs.select(
         F.struct("*").alias("row"), F.col(source).alias("of"), F.col(source).alias("of_source"), _draw(key, seed).alias("draw")
     ).withColumn("rank", _rank())
-    joined = rows.drop("of_source").join(plans, F.col("of").eqNullSafe(F.col("of_source")))
+    # A frequent source is dealt to several tasks.
+    salted = rows.drop("of_source").withColumn("salt", F.col("draw") % _SALTS)
+    spread = plans.withColumn("of_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    joined = salted.join(spread, F.col("of").eqNullSafe(F.col("of_source")) & (F.col("salt") == F.col("of_salt")))
     taken = (F.col("rank") < F.col("cut_rank")) | (
         (F.col("rank") == F.col("cut_rank")) & (F.col("draw") <= F.col("cut_draw"))
     )

@@ -11,8 +11,10 @@ out a whole node once there are too many.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,30 +31,33 @@ _LEAF, _FAN = 16, 8
 _FRONTIER = 1 << 20
 
 
-def fingerprint(text: str | None, words: int) -> int:
-    """Majority of the shingles' hashes in every bit; zero without words."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of every run of words, repeats included; a shorter text is one run, a text without words none."""
     split = (text or "").encode().translate(_LOWER).split()
     if not split:
-        return 0
+        return np.empty(0, dtype="<u8")
     joined = b" ".join(split)
     ends = np.cumsum([len(w) + 1 for w in split]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(split) - words + 1)
     spans = zip(starts[:n].tolist(), ends[min(words, len(split)) - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in spans), dtype="<u8", count=n)
-    by_byte = hashes.view(np.uint8).reshape(n, 8)
+    return np.fromiter((digest(joined[a:b], 42) for a, b in spans), dtype="<u8", count=n)
+
+
+def fingerprint(text: str | None, words: int) -> int:
+    """Majority of the shingles' hashes in every bit; zero without words."""
+    hashes = shingle_hashes(text, words)
+    by_byte = hashes.view(np.uint8).reshape(-1, 8)
     ones = np.concatenate([np.bincount(by_byte[:, j], minlength=256) @ _BITS_OF_BYTE for j in range(8)])
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def with_fingerprint(docs: DataFrame, words: int, text: str, name: str) -> DataFrame:
     """The same rows with their fingerprint as a signed 64-bit number."""
 
     @F.pandas_udf("long")
-    def fingerprints(texts):
-        import pandas as pd
-
+    def fingerprints(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
 
     return docs.withColumn(name, fingerprints(text))
@@ -260,23 +265,74 @@ def near_duplicates(
     return joined.select(F.col("doc").alias(key), "fingerprint", F.col("smallest").alias("component"))
 
 
+def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """Hashes of the distinct shingles of texts (mark, text), as sorted arrays."""
+
+    @F.pandas_udf("array<long>")
+    def hashed(values: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, words)).view(np.int64) for t in values])
+
+    return texts.select("mark", hashed("text").alias("shingles"))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs (mark, lead_mark) of texts whose shingle sets reach a Jaccard similarity; two empty sets do."""
+    wanted = pairs.select("mark").union(pairs.select("lead_mark")).distinct()
+    # One text for each hash; repeats of it are the same text.
+    once = texts.join(wanted, "mark", "left_semi").groupBy("mark").agg(F.min("text").alias("text"))
+    sets = materialize(_shingle_sets(once, words), "shingles")
+    joined = pairs.join(sets, "mark").join(
+        sets.select(F.col("mark").alias("lead_mark"), F.col("shingles").alias("lead")), "lead_mark"
+    )
+    common = F.size(F.array_intersect("shingles", "lead"))
+    whole = F.size("shingles") + F.size("lead") - common
+    return joined.where(common >= whole * similarity).select("mark", "lead_mark")
+
+
 def representatives(
-    docs: DataFrame, words: int = 5, bits: int = 3, largest: int = 4096, text: str = "text", key: str = "doc_id"
+    docs: DataFrame,
+    words: int = 5,
+    bits: int = 12,
+    similarity: float = 0.8,
+    rounds: int = 2,
+    largest: int = 16_384,
+    text: str = "text",
+    key: str = "doc_id",
 ) -> DataFrame:
-    """One row of each group of near-duplicates, with all its columns: the one with the smallest key, nulls first.
-
-    Of rows of that key with different texts one stays, told by a hash of the text; of rows that repeat both, any one.
+    """Rows without their near-duplicates, with all columns: of each group of similar texts the row with the smallest
+    key stays, nulls first.
+
+    Groups are the components of fingerprints within `bits` bits, a radius wide enough for shingle sets of the given
+    Jaccard similarity. In each group a row goes if its text really is so similar to that of the group's first row; the
+    first of the others then leads them, for `rounds` rounds, and what is similar to none of the leaders stays. Equal
+    texts need no look at them. Of rows of one key with different texts the smaller hash of the text comes first; of
+    rows that repeat key and text one stays.
     """
     hashed, of_code = _classes(docs, words, bits, largest, text, key)
-    first = hashed.groupBy("fingerprint").agg(F.min(F.struct("doc", "mark")).alias("first"))
-    rooted = of_code.join(first, F.col("code") == F.col("fingerprint"))
-    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
-        F.col("first.doc").alias("kept_doc"), F.col("first.mark").alias("kept_mark")
+    texts = docs.select(F.xxhash64(text).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # A text stands for its copies: the least key that has it.
+    by_text = hashed.groupBy("fingerprint", "mark").agg(F.min("doc").alias("doc"))
+    left = materialize(
+        by_text.join(of_code, F.col("fingerprint") == F.col("code")).select("root", "doc", "mark"), "texts"
     )
+    kept = []
+    for _ in range(rounds):
+        lead = left.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark")).alias("lead"))
+        lead = materialize(lead, "leaders")
+        kept.append(lead.select("lead.doc", "lead.mark"))
+        several = lead.where("n > 1").select("root", F.col("lead.mark").alias("lead_mark"))
+        pairs = materialize(left.join(several, "root").where("mark <> lead_mark"), "pairs")
+        if pairs.isEmpty():
+            left = pairs.select("root", "doc", "mark")
+            break
+        close = _similar(pairs.select("mark", "lead_mark").distinct(), texts, words, similarity)
+        left = materialize(pairs.join(close, ["mark", "lead_mark"], "left_anti").select("root", "doc", "mark"), "left")
+    kept.append(left.select("doc", "mark"))
+    chosen = reduce(DataFrame.unionByName, kept).select(F.col("doc").alias("kept_doc"), F.col("mark").alias("kept_mark"))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc"), F.xxhash64(text).alias("mark"))
     same = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("mark") == F.col("kept_mark"))
-    kept = rows.join(chosen, same, "left_semi").groupBy("doc", "mark").agg(F.first("row").alias("row"))
-    return kept.select("row.*")
+    found = rows.join(chosen, same, "left_semi").groupBy("doc", "mark").agg(F.first("row").alias("row"))
+    return found.select("row.*")
 
 
 def as_hex(code: str | Column) -> Column:
