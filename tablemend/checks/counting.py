@@ -10,6 +10,7 @@ from tablemend.operators import counts as C
 from tablemend.operators import dedupe as D
 from tablemend.operators import runs as R
 from tablemend.operators import schemas as S
+from tablemend.session import materialize
 
 _SUMS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _LINES = "SELECT * FROM lineitem"
@@ -199,7 +200,7 @@ def collect_keys(spark, sf_dir):
  LEFT JOIN so USING (table_name) LEFT JOIN go USING (table_name)"""
 )
 def schema_parity(spark, sf_dir):
-    source = X.column_catalog(spark, sf_dir)
+    source = materialize(X.column_catalog(spark, sf_dir), "catalog")
     n = F.substring("table_name", 2, 18).cast("long")
     name, position = F.col("column_name"), F.col("ordinal_position")
     tables = source.select("schema_name", "table_name").distinct()

@@ -175,8 +175,9 @@ _EVENTS = f"""SELECT 'U' AS op, '0' AS transact_id, '0' AS file_name, '0' AS fil
 
 
 def _queue(spark, sf_dir):
-    check = order_check(spark, sf_dir)
-    return verify.repair_queue(check, verify.verification_log(check, X.ORDER_WINDOW, X.BATCH), X.BATCH)
+    check, path = order_check(spark, sf_dir), scratch_path(spark, "queue-log")
+    verify.write_diff_log(check, X.ORDER_WINDOW, X.BATCH, path)
+    return verify.repair_queue(check, spark.read.parquet(path), X.BATCH)
 
 
 @query(f"{X.COPIES_SQL} {_EVENTS}")

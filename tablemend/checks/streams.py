@@ -24,6 +24,23 @@ def stream_upsert(spark, sf_dir):
     return jobs.current_table(X.target_orders(spark, sf_dir), spark.read.parquet(changes), X.KEYS, ["chg_dtm"])
 
 
+@query(f"{X.COPIES_SQL}, v AS ({X.DUPLICATES_SQL}) {upsert_sql('SELECT * FROM t', latest_sql('SELECT * FROM v'))}")
+def stream_folded(spark, sf_dir):
+    """First versions are streamed and folded into a new target, later ones are streamed and read with it."""
+    staged = X.versioned_orders(spark, sf_dir)
+    landed, changes, state = (scratch_path(spark, n) for n in ("landed", "changes", "fold-state"))
+    target, last = X.target_orders(spark, sf_dir), None
+    for later in ("o_orderstatus <> 'V'", "o_orderstatus = 'V'"):
+        staged.where(later).repartition(2).write.mode("append").parquet(landed)
+        landing = jobs.landing_stream(spark, landed, staged.schema, files_per_batch=1)
+        jobs.stream_upsert(landing, X.KEYS, ["chg_dtm"], changes, state).awaitTermination()
+        if last is None:
+            folder = scratch_path(spark, "folded")
+            last = jobs.compact_changes(target, spark.read.parquet(changes), X.KEYS, ["chg_dtm"], folder)
+            target = spark.read.schema(target.schema).parquet(folder)
+    return jobs.current_table(target, jobs.changes_after(spark.read.parquet(changes), last), X.KEYS, ["chg_dtm"])
+
+
 @query(
     f"""SELECT time_bucket(INTERVAL 10 MINUTE, endtime) AS window_start,
  time_bucket(INTERVAL 10 MINUTE, endtime) + INTERVAL 10 MINUTE AS window_end, pgmid, count(*) AS error_count

@@ -100,8 +100,10 @@ def rewrite_published(
 ) -> None:
     """Replace published files with a changed copy.
 
-    The copy is written beside them first, and replaces them only if it holds
-    as many rows.
+    The copy is written beside them first, and takes their place only if it
+    holds as many rows: the old folder is moved aside, the copy moved in, and the
+    old one removed. Nothing is written twice, and what fails in between leaves
+    both complete. Where a store has no move of its own, it copies.
     """
     old = spark.read.parquet(path)
     change(old).write.parquet(staging)
@@ -109,4 +111,13 @@ def rewrite_published(
     before, after = old.count(), copy.count()
     if before != after:
         raise ValueError(f"the copy holds {after} rows, the original {before}")
-    copy.write.mode("overwrite").parquet(path)
+    files = spark._jvm.org.apache.hadoop.fs
+    published, fresh, aside = (files.Path(p) for p in (path, staging, f"{staging}-replaced"))
+    system = published.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.rename(published, aside):
+        raise OSError(f"{path} cannot be moved aside")
+    if not system.rename(fresh, published):
+        system.rename(aside, published)
+        raise OSError(f"{staging} cannot be moved to {path}")
+    system.delete(aside, True)
+    spark.catalog.refreshByPath(path)

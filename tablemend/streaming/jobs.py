@@ -39,7 +39,7 @@ def stream_upsert(
     """Collect the latest rows per key of every micro-batch in the change folder.
 
     The target is not rewritten per batch: `current_table` reads it together
-    with the changes, and writing that result now and then folds them in.
+    with the changes, and `compact_changes` now and then folds them in.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -53,6 +53,26 @@ def current_table(target: DataFrame, changes: DataFrame, keys: list[str], order:
     return dedupe_upsert(target, changes.select(*target.columns), keys, order)
 
 
+def compact_changes(
+    target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], path: str
+) -> int | None:
+    """Write the target with all batches at hand to a new folder; the last batch folded, None if there was none.
+
+    From then on the folder is the target, and `changes_after` leaves out what
+    it holds, so the number of batches to read does not grow for ever. A batch
+    that comes later must hold no older version of a key.
+    """
+    last = changes.agg(F.max("batch")).first()[0]
+    held = changes.where(F.col("batch") <= F.lit(last))
+    (target if last is None else current_table(target, held, keys, order)).write.mode("overwrite").parquet(path)
+    return last
+
+
+def changes_after(changes: DataFrame, last: int | None) -> DataFrame:
+    """Batches not folded yet; the folders of the others are not read."""
+    return changes if last is None else changes.where(F.col("batch") > last)
+
+
 def error_counts(events: DataFrame, ts: str, width: str, lateness: str | None = None, status: str = "st") -> DataFrame:
     """Failed runs per job and half-open time window; each row falls in one window.
 
