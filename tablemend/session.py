@@ -48,9 +48,20 @@ def checkpoint_base(spark: SparkSession) -> str:
     return _local_bases[context.applicationId]
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return f"{checkpoint_base(spark)}/tablemend/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, so never overwritten."""
-    return f"{checkpoint_base(spark)}/tablemend/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate files of this application; frames that read them are of no use afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

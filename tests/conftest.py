@@ -6,7 +6,7 @@ import pytest
 ROOT = pathlib.Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-from tablemend.session import build_session  # noqa: E402
+from tablemend.session import build_session, release_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,4 +15,5 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = build_session("tablemend-tests", 8)
     yield session
+    release_scratch(session)
     session.stop()
