@@ -396,3 +396,52 @@ def call_log_load(spark, sf_dir):
     rows = spark.read.parquet(target).groupBy(F.col("acd").alias("site"), "call_id", "mesg", "q_wait_time")
     return rows.agg(F.count("*").alias("n"))
 
+
+
+# Files, layers -----------------------------------------------------------------
+
+
+@query(
+    """SELECT 'orders' AS table_name, (SELECT count(*) FROM orders) AS files_cnt,
+ (SELECT count(*) FROM orders WHERE o_orderkey % 53 <> 0) AS source_cnt,
+ (SELECT count(*) FROM orders WHERE o_orderkey % 47 <> 0) AS target_cnt,
+ (SELECT count(*) FROM orders) - (SELECT count(*) FROM orders WHERE o_orderkey % 53 <> 0) AS files_minus_source_cnt,
+ (SELECT count(*) FROM orders WHERE o_orderkey % 53 <> 0) - (SELECT count(*) FROM orders WHERE o_orderkey % 47 <> 0)
+ AS source_minus_target_cnt,
+ (SELECT count(*) FROM orders) - (SELECT count(*) FROM orders WHERE o_orderkey % 47 <> 0) AS files_minus_target_cnt"""
+)
+def compare_with_files(spark, sf_dir):
+    """Landing files of two runs are counted by their footers and compared with both copies."""
+    path = scratch_path(spark, "landed-orders")
+    orders = X.table(spark, sf_dir, "orders")
+    K.replace_prefix(orders.where("o_orderkey % 2 = 0"), f"{path}/2024/01/01")
+    K.replace_prefix(orders.where("o_orderkey % 2 = 1"), f"{path}/2024/01/02")
+    source = C.table_profiles({"orders": X.source_orders(spark, sf_dir)})
+    target = C.table_profiles({"orders": X.target_orders(spark, sf_dir)})
+    return C.compare_three(S.count_files(spark, path, "orders"), source, target)
+
+
+_LOAD_DAY = "ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-10 23:59:59'"
+_LAYERS = [
+    ("events", f"SELECT * FROM events WHERE {_LOAD_DAY}", f"SELECT * FROM events WHERE event_id % 47 <> 0 AND {_LOAD_DAY}", "value"),
+    ("orders", X.SOURCE_SQL, X.TARGET_SQL, "o_totalprice"),
+]
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{c}' AS column_name, {_sum_sql(a, c)} AS source_sum, {_sum_sql(b, c)} AS target_sum,
+ CAST({_sum_sql(a, c)} - {_sum_sql(b, c)} AS DECIMAL(38,3)) AS source_minus_target_sum"""
+        for name, a, b, c in _LAYERS
+    )
+)
+def compare_layer_sums(spark, sf_dir):
+    """Sums of two layers: one table as a whole, of the other the rows of a load day."""
+    events = X.table(spark, sf_dir, "events")
+    layers = [
+        {"events": events, "orders": X.source_orders(spark, sf_dir)},
+        {"events": events.where("event_id % 47 <> 0"), "orders": X.target_orders(spark, sf_dir)},
+    ]
+    sums = {"events": ["value"], "orders": ["o_totalprice"]}
+    profiles = [C.table_profiles(t, sums, {"events": "ts"}, "2024-01-10 07:00:00") for t in layers]
+    return C.compare_sums(*profiles)
