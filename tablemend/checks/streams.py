@@ -64,3 +64,20 @@ def stream_error_counts(spark, sf_dir):
 )
 def error_counts(spark, sf_dir):
     return jobs.error_counts(X.job_runs(spark, sf_dir), "endtime", "10 minutes")
+
+
+@query(
+    f"""WITH f AS (SELECT event_id, pgmid, time_bucket(INTERVAL 10 MINUTE, endtime) AS w, endtime FROM ({X.RUNS_SQL}) WHERE st = 'ER'),
+ mark AS (SELECT max(endtime) - INTERVAL 1 DAY AS m FROM f WHERE event_id % 2 = 0)
+ SELECT w AS window_start, w + INTERVAL 10 MINUTE AS window_end, pgmid, count(*) AS error_count FROM f, mark
+ WHERE event_id % 2 = 0 OR w + INTERVAL 10 MINUTE > m GROUP BY ALL"""
+)
+def stream_late_rows(spark, sf_dir):
+    """Half of the runs arrive after the others; of these, what is more than a day late is left out."""
+    runs = X.job_runs(spark, sf_dir).select("event_id", "pgmid", "endtime", "st")
+    landed, counts, state = (scratch_path(spark, n) for n in ("late-runs", "late-counts", "late-state"))
+    for half in (0, 1):
+        runs.where(f"event_id % 2 = {half}").repartition(1).write.mode("append").parquet(landed)
+        landing = jobs.landing_stream(spark, landed, runs.schema, files_per_batch=1)
+        jobs.stream_error_counts(landing, "endtime", "10 minutes", "1 day", counts, state).awaitTermination()
+    return jobs.final_counts(spark.read.parquet(counts))

@@ -31,7 +31,7 @@ def test_entry_is_the_summary(spark):
     assert rows[0]["source_total_count"] > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"stream_upsert", "stream_folded", "stream_error_counts"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"stream_upsert", "stream_folded", "stream_error_counts", "stream_late_rows"}))
 def test_no_plan_compares_all_pairs(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
