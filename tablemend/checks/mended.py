@@ -408,7 +408,8 @@ def call_log_load(spark, sf_dir):
  (SELECT count(*) FROM orders) - (SELECT count(*) FROM orders WHERE o_orderkey % 53 <> 0) AS files_minus_source_cnt,
  (SELECT count(*) FROM orders WHERE o_orderkey % 53 <> 0) - (SELECT count(*) FROM orders WHERE o_orderkey % 47 <> 0)
  AS source_minus_target_cnt,
- (SELECT count(*) FROM orders) - (SELECT count(*) FROM orders WHERE o_orderkey % 47 <> 0) AS files_minus_target_cnt"""
+ (SELECT count(*) FROM orders) - (SELECT count(*) FROM orders WHERE o_orderkey % 47 <> 0) AS files_minus_target_cnt
+ UNION ALL SELECT 'customer', count(*), count(*), count(*), 0, 0, 0 FROM customer"""
 )
 def compare_with_files(spark, sf_dir):
     """Landing files of two runs are counted by their footers and compared with both copies."""
@@ -416,9 +417,12 @@ def compare_with_files(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders")
     K.replace_prefix(orders.where("o_orderkey % 2 = 0"), f"{path}/2024/01/01")
     K.replace_prefix(orders.where("o_orderkey % 2 = 1"), f"{path}/2024/01/02")
-    source = C.table_profiles({"orders": X.source_orders(spark, sf_dir)})
-    target = C.table_profiles({"orders": X.target_orders(spark, sf_dir)})
-    return C.compare_three(S.count_files(spark, path, "orders"), source, target)
+    customer, customer_path = X.table(spark, sf_dir, "customer"), scratch_path(spark, "landed-customer")
+    K.replace_prefix(customer, f"{customer_path}/2024/01/01")
+    files = S.count_files(spark, path, "orders").unionByName(S.count_files(spark, customer_path, "customer"))
+    source = C.table_profiles({"orders": X.source_orders(spark, sf_dir), "customer": customer})
+    target = C.table_profiles({"orders": X.target_orders(spark, sf_dir), "customer": customer})
+    return C.compare_three(files, source, target)
 
 
 _LOAD_DAY = "ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-10 23:59:59'"
