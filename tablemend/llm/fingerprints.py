@@ -24,7 +24,7 @@ class Lexicons:
     `rates[i]` of those. Sparse subsets outlast large edits of long documents, dense ones tell short documents apart.
     """
 
-    share: int = 8
+    share: int = 1
     rates: tuple[int, ...] = (2, 2, 4, 4, *[8] * 4, *[16] * 8, *[32] * 8, *[64] * 8)
     least_idf: float = 4.0
     least_documents: int = 2
