@@ -10,6 +10,7 @@ from tablemend.llm import (
     fingerprints,
     lines,
     mixing,
+    negatives,
     packing,
     passages,
     search,
@@ -17,6 +18,7 @@ from tablemend.llm import (
     toolcalls,
     toxicity,
     urls,
+    variants,
 )
 from tablemend.llm.registry import ORACLES, QUERIES, query, table
 from tablemend.session import materialize
@@ -315,3 +317,59 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .union(entry(domains, "domains", host, "remove", after(F.lit(274))))
     )
     return urls.judge(captures, materialize(entries, "entries"))
+
+
+WORDS = r"[a-z\u00C0-\u00FF]+"
+
+
+@query()
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the words one letter apart and the form each is a variant of.
+
+    One run in some 199, by a checksum of document and run, loses a letter first.
+    """
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", F.explode(variants.runs("text", WORDS)).alias("run"))
+    tagged = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    hashed = found.select("run", F.crc32(tagged.cast("binary")).alias("h"))
+    at = F.col("h") % F.length("run")
+    cut = F.concat(F.substring("run", F.lit(1), at.cast("int")), F.substring("run", (at + 2).cast("int"), F.length("run")))
+    word = F.when(F.col("h") % 199 == 0, cut).otherwise(F.col("run"))
+    counted = hashed.select(word.alias("word")).where(F.length("word") >= 6).groupBy("word").agg(F.count("*").alias("n"))
+    return variants.variants(counted.where("n >= 5"))
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    list_sum(list_transform(list_zip(a.w, v.w), lambda p: p[1] * p[2])) AS score
+  FROM whole a JOIN whole v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, CAST(positive_score AS BIGINT) AS positive_score,
+  CAST(negative_score AS BIGINT) AS negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score nearly as high as the positives of every vector whose id is divisible by 100."""
+    whole = table(spark, sf_dir, "embeddings").where(
+        F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+    )
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    rows = whole.select("vec_id", label.alias("label"), scaled.alias("weights"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
