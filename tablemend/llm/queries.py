@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tablemend.llm import (
     fingerprints,
     lines,
+    lm,
     mixing,
     negatives,
     packing,
@@ -319,6 +320,17 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(captures, materialize(entries, "entries"))
 
 
+@query()
+def op11_mixed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under word counts and under mixed context models.
+
+    Both learn from the documents whose key's checksum does not leave 0 when divided by 10.
+    """
+    docs = table(spark, sf_dir, "documents")
+    training = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0, F.lit(True))
+    return lm.score(docs, training)
+
+
 WORDS = r"[a-z\u00C0-\u00FF]+"
 
 

@@ -10,9 +10,7 @@ out a whole node once there are too many.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,13 +24,9 @@ from tablemend.session import materialize
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BITS_OF_BYTE = (np.arange(256)[:, None] >> np.arange(8)) & 1
-_FULL = (1 << 64) - 1
 _LEAF, _FAN = 16, 8
 # Pairs of a query and a node looked at together.
 _FRONTIER = 1 << 20
-# MinHashes of a band, shingles hashed at a time, and an odd factor that mixes keys.
-_BAND, _CHUNK = 5, 1024
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -269,106 +263,27 @@ def near_duplicates(
     return joined.select(F.col("doc").alias(key), "fingerprint", F.col("smallest").alias("component"))
 
 
-def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """Hashes of the distinct shingles of texts (mark, text), as sorted arrays."""
-
-    @F.pandas_udf("array<long>")
-    def hashed(values: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, words)).view(np.int64) for t in values])
-
-    return texts.select("mark", hashed("text").alias("shingles"))
-
-
-def bands_needed(similarity: float, missed: float) -> int:
-    """Bands after which a share of at most `missed` of the pairs of a Jaccard similarity agrees in none."""
-    alike = similarity**_BAND
-    return 1 if alike >= 1 else math.ceil(math.log(missed) / math.log1p(-alike))
-
-
-def band_keys(hashes: np.ndarray, bands: int) -> np.ndarray:
-    """A key for each band: the least values of the hashes under the band's functions. Empty sets share all keys."""
-    draw = np.random.default_rng(7)
-    factor = draw.integers(0, 1 << 63, bands * _BAND, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-    shift = draw.integers(0, 1 << 63, bands * _BAND, dtype=np.uint64)
-    least = np.full(bands * _BAND, _FULL, dtype=np.uint64)
-    for first in range(0, len(hashes), _CHUNK):
-        part = hashes[first : first + _CHUNK, None]
-        np.minimum(least, (part * factor + shift).min(axis=0), out=least)
-    least = least.reshape(bands, _BAND)
-    key = np.arange(1, bands + 1, dtype=np.uint64)
-    for i in range(_BAND):
-        key = (key ^ key >> np.uint64(29)) * _MIX + least[:, i]
-    return (key ^ key >> np.uint64(32)) * _MIX
-
-
-def _with_bands(docs: DataFrame, words: int, bands: int, text: str, key: str) -> DataFrame:
-    """Distinct texts: `mark`, a hash of the text, the least key `doc` that has it, and its band keys `blocks`."""
-
-    @F.pandas_udf("array<long>")
-    def keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([band_keys(np.unique(shingle_hashes(t, words)), bands).view(np.int64) for t in texts])
-
-    slim = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("mark"), keys(text).alias("blocks"))
-    hashed = materialize(slim, "minhash")
-    # A text stands for its copies: the least key that has it.
-    return materialize(hashed.groupBy("mark").agg(F.min("doc").alias("doc"), F.any_value("blocks").alias("blocks")), "texts")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (mark, lead_mark) of texts whose shingle sets reach a Jaccard similarity; two empty sets do."""
-    joined = pairs.join(sets, "mark").join(
-        sets.select(F.col("mark").alias("lead_mark"), F.col("shingles").alias("lead")), "lead_mark"
-    )
-    common = F.size(F.array_intersect("shingles", "lead"))
-    whole = F.size("shingles") + F.size("lead") - common
-    return joined.where(common >= whole * similarity).select("mark", "lead_mark")
-
-
-def representatives(
+def one_of_each(
     docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
-    missed: float = 1e-6,
+    words: int = 3,
+    bits: int = 3,
+    largest: int = 4096,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
-    """Rows without their near-duplicates, with all columns: in the order of their keys, nulls first, a row stays unless
-    its shingle set reaches the Jaccard similarity with that of a row that stays before it.
-
-    Texts that agree in a band of MinHashes are candidates; there are as many bands as leave out a share of at most
-    `missed` of the pairs just as similar as asked for, and far fewer of those more alike. A text that is the first of
-    all its bands stays, and those that share a band with it are compared with it exactly and go if they are similar;
-    this is done again with the texts left, until none is. Only first texts are compared with others, so a dense group
-    gives a pair a text and round, not all pairs. Equal texts need no look at them. Of rows of one key with different
-    texts the smaller hash of the text comes first; of rows that repeat key and text one stays.
+    """One row of each component of close fingerprints, with all its columns: that of the smallest key, of rows with
+    that key the one whose text has the smaller hash, of rows that repeat key and text any one.
+
+    Rows with a null key stay only where no other is in the component. Null and empty texts are a component of their own.
     """
-    once = _with_bands(docs, words, bands_needed(similarity, missed), text, key)
-    members = once.select("doc", "mark", F.explode("blocks").alias("block"))
-    shared = members.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
-    left = materialize(members.join(shared, "block", "left_semi").select("doc", "mark", "block"), "left")
-    wanted = materialize(left.select("mark").distinct(), "wanted")
-    kept = [once.join(wanted, "mark", "left_anti").select("doc", "mark")]
-    texts = docs.select(F.xxhash64(text).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # One text for each hash; repeats of it are the same text.
-    texts = texts.join(wanted, "mark", "left_semi").groupBy("mark").agg(F.min("text").alias("text"))
-    sets = materialize(_shingle_sets(texts, words), "shingles")
-    while not left.isEmpty():
-        lead = left.groupBy("block").agg(F.min(F.struct("doc", "mark")).alias("lead"))
-        led = left.join(lead, "block").select("doc", "mark", F.col("lead.mark").alias("lead_mark"))
-        led = materialize(led.distinct(), "led")
-        first = led.groupBy("doc", "mark").agg(F.bool_and(F.col("mark") == F.col("lead_mark")).alias("first"))
-        first = materialize(first.where("first").select("doc", "mark"), "first")
-        kept.append(first)
-        leads = first.select(F.col("mark").alias("lead_mark"))
-        pairs = led.where("mark <> lead_mark").select("mark", "lead_mark").join(leads, "lead_mark", "left_semi")
-        close = _similar(materialize(pairs, "pairs"), sets, similarity)
-        done = materialize(first.select("mark").union(close.select("mark")).distinct(), "done")
-        left = materialize(left.join(done, "mark", "left_anti").select("doc", "mark", "block"), "left")
-    chosen = reduce(DataFrame.unionByName, kept).select(F.col("doc").alias("kept_doc"), F.col("mark").alias("kept_mark"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc"), F.xxhash64(text).alias("mark"))
-    same = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("mark") == F.col("kept_mark"))
-    found = rows.join(chosen, same, "left_semi").groupBy("doc", "mark").agg(F.first("row").alias("row"))
-    return found.select("row.*")
+    hashed, of_code = _classes(docs, words, bits, largest, text, key)
+    rooted = hashed.join(of_code, F.col("fingerprint") == F.col("code"))
+    order = F.struct(F.col("doc").isNull().alias("keyless"), "doc", "mark")
+    least = rooted.groupBy("root").agg(F.min(order).alias("row"))
+    kept = materialize(least.select(F.struct("row.doc", "row.mark").alias("kept")), "kept")
+    tag = F.struct(F.col(key).alias("doc"), F.xxhash64(text).alias("mark"))
+    rows = docs.select(F.struct("*").alias("row"), tag.alias("tag")).join(kept, F.col("tag") == F.col("kept"), "left_semi")
+    return rows.groupBy("tag").agg(F.first("row").alias("row")).select("row.*")
 
 
 def as_hex(code: str | Column) -> Column:

@@ -13,13 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.session import materialize, scratch_path
+from tablemend import session
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Edges of a depth that are few enough for a broadcast, and the longest stretch without a branch passed at once.
 _FEW_EDGES, _LONGEST_SKIP = 4096, 20
 
 
+# Rounds write many small files: this codec holds no buffers outside the heap that only a collection of garbage frees.
+_CODEC = "zstd"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    return session.materialize(df, label, compression=_CODEC)
+
+
 def runs(text: str | Column, pattern: str) -> Column:
     """All matches of a pattern, A-Z lowered and other letters left as they are."""
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(pattern), F.lit(0))
@@ -95,7 +103,7 @@ def near_words(words: DataFrame, word: str = "word") -> DataFrame:
     tries = materialize(_both_ways(vocabulary), "tries")
     first = tries.agg(F.min("free")).first()[0] or 0
     below = tries.select("*", F.substring("path", 1, first).alias("node"), F.lit(False).alias("node_ends"))
-    folder = scratch_path(spark, "frontier")
+    folder = session.scratch_path(spark, "frontier")
     states, depth = None, first
     while not below.isEmpty():
         edges = materialize(_edges(below, depth), "edges")
@@ -118,7 +126,7 @@ def near_words(words: DataFrame, word: str = "word") -> DataFrame:
         ended = dropped.where((F.col("place") == F.col("size")) & F.col("node_ends"))
         ended = ended.select("side", "path", F.col("node").alias("found"), *_no_state())
         level = f"{folder}/depth={depth}"
-        _settled(moved, depth).unionByName(ended).write.parquet(level)
+        _settled(moved, depth).unionByName(ended).write.parquet(level, compression=_CODEC)
         states = (
             spark.read.parquet(level)
             .where(F.col("found").isNull())

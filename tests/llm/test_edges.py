@@ -124,11 +124,12 @@ def test_simhash(spark, docs, empty):
     assert set(got[got.doc_id.isin([1, 2, 7])].component) == {1}
     assert set(got[got.doc_id == 4].component) == {4}
     assert simhash.near_duplicates(empty).count() == 0
-    kept = simhash.representatives(docs)
+    kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     # One of the copies of the long text stays, the other text of its key too, and the row without a key.
     assert kept.where(F.col("text") == LONG).count() == 1
     assert sorted(r[0] or 0 for r in kept.select("doc_id").collect()) == [0, 1, 3, 4, 5, 5]
+    assert simhash.one_of_each(empty).count() == 0
 
 
 @pytest.mark.parametrize(("bits", "largest"), [(3, 4096), (3, 2), (7, 40)])

@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, name):
     assert compare(spark, duck(SF_DIR), SF_DIR, queries()[name], oracle_sql()[name])
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_one_query_for_each_operator(number):
     assert len([n for n in queries() if n.startswith(f"op{number}_")]) == 1
 
