@@ -64,12 +64,12 @@ def release_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back.
 
     Used where two branches of a plan must see the very same rows; the written
     files survive the loss of executors.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
