@@ -35,8 +35,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return simhash.representatives(docs, words=5, similarity=0.8)
+    """The document with the smallest id of each group linked by fingerprints of three-word shingles within three bits."""
+    return simhash.one_of_each(docs, words=3, bits=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
