@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablemend.functions.numbers import exact_sum, or_zero, percent, round_sum
@@ -177,3 +177,39 @@ def catalog_profiles(
     tables = {r["name"]: open_table(r["name"]) for r in rows}
     by_day = dict.fromkeys(tables, load_day) if load_day else None
     return table_profiles(tables, {r["name"]: list(r["columns"]) for r in rows}, by_day, day)
+
+
+_FILE = ["file_path", "file_size", "file_modification_time"]
+
+
+def refreshed_file_sums(spark: SparkSession, path: str, columns: list[str], known: DataFrame | None = None) -> DataFrame:
+    """Row count and exact sums of every parquet file under a prefix: path, size, time, row_count and a sum a column.
+
+    `known` is what an earlier run returned, written down. Files with the same path, size and time keep their sums, only
+    new and changed files are read, and files that are gone fall out. Files are listed without being opened; the names
+    of those to read pass through the driver, which plans the scan by them anyway. An empty prefix has no rows.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    there = listing.select(*[F.col(f"_metadata.{c}").alias(c) for c in _FILE])
+    new = there if known is None else there.join(known.select(*_FILE), _FILE, "left_anti")
+    names = [r["file_path"] for r in new.select("file_path").collect()]
+    sums = [F.sum(F.col(c).cast("decimal(38,6)")).alias(f"sum_{c}") for c in columns]
+    kept = None if known is None else known.join(there, _FILE, "left_semi")
+    if not names:
+        if kept is None:
+            fields = ", ".join(f"sum_{c} decimal(38,6)" for c in columns)
+            types = "file_path string, file_size long, file_modification_time timestamp, row_count long"
+            return spark.createDataFrame([], f"{types}, {fields}" if fields else types)
+        return kept
+    read = spark.read.parquet(*names).groupBy(*[F.col(f"_metadata.{c}").alias(c) for c in _FILE])
+    # A file without rows still has a line, so that it is not read again.
+    found = new.join(read.agg(F.count("*").alias("row_count"), *sums), _FILE, "left").fillna(0, ["row_count"])
+    return found if kept is None else kept.unionByName(found)
+
+
+def total_of_files(sums: DataFrame, table: str) -> DataFrame:
+    """One row: the table's name, its row count and the sums over all files."""
+    columns = [c for c in sums.columns if c.startswith("sum_")]
+    totals = [F.sum(c).cast("decimal(38,6)").alias(c) for c in columns]
+    count = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return sums.agg(F.lit(table).alias("table_name"), count, *totals)

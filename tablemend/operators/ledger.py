@@ -184,11 +184,20 @@ def target_only_pending(
 
 
 def all_differences(
-    source: DataFrame, target: DataFrame, keys: list[str], ts: str, window: TimeWindow, deletes: DataFrame | None = None
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    ts: str,
+    window: TimeWindow,
+    deletes: DataFrame | None = None,
+    newest: Column | None = None,
 ) -> DataFrame:
-    """Changed, source-only and target-only keys in one pass, told apart by `kind`."""
+    """Changed, source-only and target-only keys in one pass, told apart by `kind`.
+
+    `newest` is the latest time of the whole target, where only a part of it is compared.
+    """
     ledger = key_ledger(source, target, keys, ts, window, deletes)
-    newest = latest_time(target, ts)
+    newest = latest_time(target, ts) if newest is None else newest
     kind = (
         F.when(_is_changed(ledger, newest, "deleted"), "changed")
         .when(_is_source_only(newest), "source_only")

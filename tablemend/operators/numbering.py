@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from tablemend.operators.keys import estimated_bytes
 from tablemend.session import materialize
 
-_PART, _PLACE, _COPY = "__part", "__place", "__copy"
+_PART, _FROM, _COPIES, _TOTAL, _OFFSET = "__part", "__from", "__copies", "__total", "__offset"
 # Compressed bytes; rows take several times as much in memory.
 _PARTITION_BYTES = 64 * 2**20
+# Numbers of copies written out at a time.
+_AT_ONCE = 100_000
 
 
-def _partitions_for(written: DataFrame) -> int:
+def _partitions_for(df: DataFrame) -> int:
     """Enough range partitions for the size of the files, and no fewer than the session's shuffles use."""
-    usual = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, (estimated_bytes(written) or 0) // _PARTITION_BYTES)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, (estimated_bytes(df) or 0) // _PARTITION_BYTES)
 
 
 def numbered(
@@ -26,43 +28,38 @@ def numbered(
 ) -> DataFrame:
     """Number the rows of each group by `order`, from 1; nulls form their own group.
 
-    Rows are range-partitioned by group and order, so a large group spans many
-    partitions. Each row's number is its place among the group's rows of its
-    partition plus the group's rows in earlier partitions. A partition has at
-    most one group that began earlier, hence at most one such offset each, and
-    the broadcast table is never longer than the number of partitions.
-
-    The other columns settle ties. Copies of one row may be many, so they get a
-    random last sort column, which is written down first: a repeated task must
-    place them as before.
+    The other columns settle ties. Equal rows of a task are one row with a count, so it does not matter which of them is
+    which. These counted rows are range-partitioned by group and order, a large group thus over many partitions, and
+    written once with the sum of the counts before them in their partition and group. A row's numbers begin after that
+    sum and the group's counts in earlier partitions. A partition has at most one group that began earlier, hence at
+    most one such offset each, and the broadcast table is never longer than the number of partitions.
     """
     ties = [c for c in df.columns if c not in {*group, *order}]
-    sort = [*order, *ties, _COPY]
-    rows = materialize(df.withColumn(_COPY, F.rand()), "copies")
-    placed = materialize(
-        rows.repartitionByRange(partitions or _partitions_for(rows), *group, *sort)
-        .sortWithinPartitions(*group, *sort)
-        .withColumns({_PART: F.spark_partition_id(), _PLACE: F.monotonically_increasing_id() % 2**33 + 1}),
-        "numbered",
-    )
+    # Copies from different tasks stay apart and can lie in different partitions.
+    counted = df.withColumn(_PART, F.spark_partition_id()).groupBy(*df.columns, _PART).agg(F.count("*").alias(_COPIES))
+    sort = [*group, *order, *ties, _PART]
+    in_order = counted.repartitionByRange(partitions or _partitions_for(df), *sort).sortWithinPartitions(*sort)
+    placed = in_order.drop(_PART).withColumns({_PART: F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
+    here = Window.partitionBy(_PART, *group).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = materialize(placed, "numbered").withColumn(_FROM, F.sum(_COPIES).over(here) - F.col(_COPIES))
     before = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(_PART, *group)
-        .agg(F.count("*").alias("__n"))
-        .withColumn("__offset", F.sum("__n").over(before))
-        .where(F.col("__offset") > 0)
-        .select(F.col(_PART).alias("__at"), *[F.col(c).alias(f"__at_{c}") for c in group], "__offset")
-    )
-    here = reduce(
-        lambda a, c: a & F.col(c).eqNullSafe(F.col(f"__at_{c}")), group, F.col(_PART) == F.col("__at")
+        .agg(F.sum(_COPIES).alias(_TOTAL))
+        .withColumn(_OFFSET, F.sum(_TOTAL).over(before))
+        .where(F.col(_OFFSET) > 0)
+        .select(F.col(_PART).alias("__in"), *[F.col(c).alias(f"__in_{c}") for c in group], _OFFSET)
     )
-    # Without groups the place in the partition is all there is to know.
-    local = F.row_number().over(Window.partitionBy(_PART, *group).orderBy(_PLACE)) if group else F.col(_PLACE)
+    same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"__in_{c}")), group, F.col(_PART) == F.col("__in"))
+    first = (F.col(_FROM) + F.coalesce(F.col(_OFFSET), F.lit(0))).alias(_FROM)
+    found = placed.join(F.broadcast(offsets), same, "left").select(*df.columns, first, _COPIES)
+    # Two steps, so that no array is longer than a bound however many copies there are.
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col(_COPIES) - 1, F.lit(_AT_ONCE).cast("long")))
+    last = F.least(F.col("__start") + _AT_ONCE, F.col(_COPIES)) - 1
     return (
-        placed.withColumn("__local", local)
-        .join(F.broadcast(offsets), here, "left")
-        .withColumn(name, (F.col("__local") + F.coalesce(F.col("__offset"), F.lit(0))).cast("long"))
-        .select(*df.columns, name)
+        found.select("*", start.alias("__start"))
+        .select(*df.columns, _FROM, F.explode(F.sequence(F.col("__start"), last)).alias("__copy"))
+        .select(*df.columns, (F.col(_FROM) + F.col("__copy") + 1).alias(name))
     )
 
 

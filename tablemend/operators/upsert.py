@@ -104,3 +104,69 @@ def apply_changes(
     columns = [c for c in target.columns if c in events.columns]
     addressed = events.where(keys_present(keys) & F.col(op).isin("I", "U", "D"))
     return _merge(target, latest_per_key(addressed, keys, order), keys, columns, F.col(op) == "D")
+
+
+_SET, _LAST, _RESET = "__set_", "__last", "__reset"
+
+
+def fold_partial_events(
+    events: DataFrame, keys: list[str], order: list[str], columns: list[str], op: str = "op", sets: str = "sets"
+) -> DataFrame:
+    """What a queue of events leaves of each key: its last operation, whether it was deleted, and for every column the
+    last value set since the last delete.
+
+    `sets` names the columns an event carries, which may be null on purpose. A delete counts as an event that clears
+    every column, so each column's winner is a maximum, and maps merge a key's events before the shuffle however many
+    there are. Events of equal order are ordered by operation and values; those without a complete key or a known
+    operation address no row.
+    """
+    known = events.where(keys_present(keys) & F.col(op).isin("I", "U", "D"))
+    place = F.struct(*order, op, *columns)
+    gone = F.col(op) == "D"
+    winners = [
+        F.max_by(
+            F.struct(gone.alias("cleared"), F.when(~gone, F.col(c)).alias("value")),
+            F.when(gone | F.array_contains(sets, c), place),
+        ).alias(_SET + c)
+        for c in columns
+    ]
+    return known.groupBy(*keys).agg(F.max_by(op, place).alias(_LAST), F.bool_or(gone).alias(_RESET), *winners)
+
+
+def apply_partial_events(
+    target: DataFrame,
+    events: DataFrame,
+    keys: list[str],
+    order: list[str],
+    columns: list[str],
+    op: str = "op",
+    sets: str = "sets",
+) -> DataFrame:
+    """Target after events that carry some columns each, in order.
+
+    A column keeps the target's value until an event sets it. After a delete a key begins anew: its columns are null
+    but for those set since. A key whose last event is a delete goes; one the target lacks is inserted.
+    """
+    folded = materialize(fold_partial_events(events, keys, order, columns, op, sets), "folded")
+    small = fits_broadcast(folded)
+    marked = folded.withColumn(_THERE, F.lit(True))
+    joined = target.join(F.broadcast(marked) if small else marked, keys, "left")
+    stays = ~F.coalesce(F.col(_LAST) == "D", F.lit(False))
+    reset = F.coalesce(F.col(_RESET), F.lit(False))
+
+    def value(field, old: Column) -> Column:
+        if field.name in keys:
+            return F.col(field.name)
+        kept = F.when(~reset, old)
+        if field.name not in columns:
+            return kept.alias(field.name)
+        winner = F.col(_SET + field.name)
+        new = F.when(~winner["cleared"], winner["value"].cast(field.dataType))
+        return F.when(winner.isNotNull(), new).otherwise(kept).alias(field.name)
+
+    updated = joined.where(stays).select(*[value(f, F.col(f.name)) for f in target.schema])
+    held = target.select(*keys)
+    if small:
+        held = held.join(F.broadcast(folded.select(*keys)), keys, "left_semi").distinct()
+    inserted = rows_without_key(folded, held, keys).where(F.col(_LAST) != "D")
+    return updated.unionByName(inserted.select(*[value(f, F.lit(None).cast(f.dataType)) for f in target.schema]))

@@ -58,10 +58,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _store(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this name in the store it names."""
+    folder, store = _store(spark, path)
+    return store.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if there is one."""
+    folder, store = _store(spark, path)
+    store.delete(folder, True)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Remove all intermediate files of this application; frames that read them are of no use afterwards."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, _scratch_folder(spark))
 
 
 def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:

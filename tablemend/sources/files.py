@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tablemend.operators.keys import broadcast_if_short
 from tablemend.session import materialize
+from tablemend.sources.records import csv_records
 
 # Encodings tried in this order; the last one reads any bytes.
 ENCODINGS = ("utf-8", "euc-kr", "cp949", "latin1")
@@ -38,32 +39,26 @@ def _fields(lines: DataFrame, line: str, schema: T.StructType) -> DataFrame:
 
     A mark is put behind every line as one field more. Where it is found among
     the fields, the line is short enough; elsewhere it has too many fields.
-    Missing, empty and unreadable values become null.
+    Missing, empty and unreadable values become null. A quote within a quoted
+    field is doubled.
     """
     names = [f"_{i}" for i in range(len(schema) + 1)]
     marked = F.concat(line, F.lit(f",{_LINE_END}"))
-    parsed = F.from_csv(marked, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+    parsed = F.from_csv(marked, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE", "escape": '"'})
     rows = lines.where(F.trim(line) != "").select(parsed.alias("r")).select("r.*")
     found = rows.where(F.array_contains(F.array(*names), _LINE_END))
     value = {n: F.nullif(F.nullif(F.col(n), F.lit(_LINE_END)), F.lit("")) for n in names}
     return found.select(*[value[n].try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema)])
 
 
-# A record: anything but quotes and line breaks, or quoted stretches, which may hold both.
-_RECORD = r"(?:[^\"\r\n]++|\"[^\"]*+\")++"
-
-
 def read_csv_skip_bad(spark: SparkSession, path: str, schema: T.StructType, breaks: bool = False) -> DataFrame:
     """Headerless CSV without the records that have too many fields; short records end in nulls.
 
-    A record is a line. With `breaks`, quoted fields may hold line breaks; a
-    file is then read as a whole by one task, so files must be of a size that
-    fits, two gigabytes at most.
+    A record is a line. With `breaks`, quoted fields may hold line breaks; files are split all the same, see
+    `records.csv_records`. A field that is opened by a quote and never closed costs its own record, with or without.
     """
-    if not breaks:
-        return _fields(spark.read.text(path), "value", schema)
-    whole = spark.read.text(path, wholetext=True)
-    return _fields(whole.select(F.explode(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0))).alias("value")), "value", schema)
+    rows = csv_records(spark, path) if breaks else spark.read.text(path)
+    return _fields(rows, "value", schema)
 
 
 @F.pandas_udf(T.StringType())
