@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from tablemend.session import materialize
 
 # Words whose ids a worker remembers; beyond that it starts anew, which changes the speed only.
 _REMEMBERED_WORDS = 800_000
+# Bytes of text looked at together.
+_PART_BYTES = 2 << 20
 
 
 class WordIds:
@@ -43,12 +46,26 @@ class WordIds:
         self._ends = np.zeros(self._tokenizer.get_vocab_size(), dtype=bool)
         self._ends[last] = True
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the number of ids of each.
+
+        Words are split and numbered as Arrow arrays, so Python only sees the distinct words of the texts.
+        """
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        numbered = split.flatten().dictionary_encode()
+        words = numbered.dictionary.to_pylist()
         if len(self._known) > _REMEMBERED_WORDS:
             self._known.clear()
-        self._learn(set().union(*split) - self._known.keys())
-        return [b"".join(map(self._known.__getitem__, words)) for words in split]
+        self._learn(set(words) - self._known.keys())
+        found = list(map(self._known.__getitem__, words))
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        number = numbered.indices.to_numpy()
+        sizes = size[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat((np.cumsum(size) - size)[number] - ends[:-1], sizes) + np.arange(ends[-1])
+        edges = split.offsets.to_numpy()
+        return ids[places], np.diff(ends[edges - edges[0]])
 
     def _learn(self, words: set[str]) -> None:
         """Find the ids of words not met before.
@@ -98,6 +115,27 @@ def word_ids(path: str) -> WordIds:
     return _encoders[path]
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.StringArray]]:
+    """Texts in parts of a bounded total, each with the place of its first; null texts are empty."""
+    texts = texts.fill_null("").cast(pa.string())
+    part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) + 64) // _PART_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield a, texts.slice(a, b - a)
+
+
+def _numbers_of(length: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The number of each piece among those of its length, counted on in `places`."""
+    order = np.argsort(length, kind="stable")
+    in_order = length[order]
+    first = np.searchsorted(in_order, in_order)
+    number = np.empty(len(length), dtype=np.int64)
+    number[order] = np.arange(len(length)) - first + places[in_order]
+    places += np.bincount(length, minlength=len(places))
+    return number
+
+
 def cut(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Pieces of every document: its key, `start`, `length`, `doc_tokens` and the `ids` themselves.
 
@@ -114,41 +152,38 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, text: str
             T.StructField("place", T.LongType()),
         ]
     )
-    end = end_id.to_bytes(4, "little")
-
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(vocabulary)
         part = TaskContext.get().partitionId()
-        places = [0] * (capacity + 1)
+        places = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            keys = batch.column(0)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            rows, start, length, total, ids, place = [], [], [], [], [], []
-            for first in range(0, len(texts), 256):
-                for row, found in enumerate(encoder.encode(texts[first : first + 256]), first):
-                    found += end
-                    tokens = len(found) // 4
-                    for at in range(0, tokens, capacity):
-                        size = min(capacity, tokens - at)
-                        rows.append(row)
-                        start.append(at)
-                        length.append(size)
-                        total.append(tokens)
-                        ids.append(found[4 * at : 4 * (at + size)])
-                        place.append(places[size])
-                        places[size] += 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    keys.take(pa.array(rows, pa.int64())),
-                    pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()),
-                    pa.array(total, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array([part] * len(rows), pa.int32()),
-                    pa.array(place, pa.int64()),
-                ],
-                names=schema.names,
-            )
+            for first, some in _parts(batch.column(1)):
+                ids, sizes = encoder.encode(some)
+                total = sizes + 1
+                ends = np.cumsum(total)
+                whole = np.full(int(total.sum()), end_id, dtype="<u4")
+                inner = np.ones(len(whole), dtype=bool)
+                inner[ends - 1] = False
+                whole[inner] = ids
+                n = -(-total // capacity)
+                row = np.repeat(np.arange(len(total)), n)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * capacity
+                length = np.minimum(total[row] - start, capacity)
+                # The pieces lie one behind the other in `whole`.
+                offsets = np.concatenate([[0], np.cumsum(length)]) * 4
+                buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(whole)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(row + first)),
+                        pa.array(start),
+                        pa.array(length),
+                        pa.array(total[row]),
+                        pa.Array.from_buffers(pa.large_binary(), len(row), buffers).cast(pa.binary()),
+                        pa.array(np.full(len(row), part, dtype=np.int32)),
+                        pa.array(_numbers_of(length, places)),
+                    ],
+                    names=schema.names,
+                )
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(pieces, schema)
 
