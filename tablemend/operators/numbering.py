@@ -13,14 +13,17 @@ from tablemend.session import materialize
 _PART, _FROM, _COPIES, _TOTAL, _OFFSET = "__part", "__from", "__copies", "__total", "__offset"
 # Compressed bytes; rows take several times as much in memory.
 _PARTITION_BYTES = 64 * 2**20
+_MORE, _UNKNOWN = 8, 2**34
 # Numbers of copies written out at a time.
 _AT_ONCE = 100_000
 
 
 def _partitions_for(df: DataFrame) -> int:
-    """Enough range partitions for the size of the files, and no fewer than the session's shuffles use."""
+    """Range partitions for the estimated size, no fewer than the session's shuffles use and at most `_MORE` times as many:
+    estimates of joins, and of rows that are no files, may be far too high."""
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, (estimated_bytes(df) or 0) // _PARTITION_BYTES)
+    wanted = (estimated_bytes(df) or 0) // _PARTITION_BYTES
+    return usual if wanted > _UNKNOWN else max(usual, min(wanted, _MORE * usual))
 
 
 def numbered(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablemend.functions.windows import TimeWindow
 from tablemend.operators.convert import nan_to_null
 from tablemend.operators.upsert import dedupe_upsert, upsert
+from tablemend.session import materialize
 from tablemend.sources.scans import read_window
 
 # Partition values read to the driver to prune the scan; more of them are matched by a join.
@@ -25,15 +26,17 @@ def incremental_load(
 def upsert_partitions(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition: str, staging: str
 ) -> None:
-    """Upsert into partitioned files, reading and writing the touched partitions alone.
+    """Upsert into partitioned files, writing the touched partitions alone.
 
     For tables too large to rewrite as a whole. A key stays in its partition
     for life, as with a creation day; a change set in which one moves raises
-    ValueError and changes nothing. Rows without a partition are one of their
-    own. The merged partitions are complete in the staging folder before the
+    ValueError and changes nothing. To know this, the keys and partitions of the
+    whole target are scanned, no other columns. Rows without a partition are one
+    of their own. The change set is evaluated once and written down. The merged partitions are complete in the staging folder before the
     first old file is replaced.
     """
     target = spark.read.parquet(path)
+    source = materialize(source, "changes")
     moved = (
         target.select(*keys, partition)
         .join(source.select(*keys, F.col(partition).alias("__new")), keys)

@@ -8,6 +8,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablemend.session import materialize
+
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -74,25 +76,28 @@ def delete_window_insert(spark: SparkSession, table: str, new: DataFrame, period
 
     Only partitions of the range are removed: those with new rows are replaced
     in one commit, the others are dropped afterwards. New rows outside the
-    range join what is there.
+    range join what is there, in the same commit, for which the rows of those
+    partitions are written along. The new rows are evaluated once.
     """
-    rows = new.select(*spark.table(table).columns)
+    rows = materialize(new.select(*spark.table(table).columns), "new")
     inside = F.coalesce(F.col(period).between(lo, hi), F.lit(False))
     value = F.regexp_extract("partition", rf"(?:^|/){period}=([^/]*)", 1)
     held = spark.sql(f"SHOW PARTITIONS {table}").select(value.alias("p")).where(F.col("p").between(lo, hi)).distinct()
     loaded = rows.where(inside).select(F.col(period).cast("string").alias("p")).distinct()
     # Names of partitions, known to the catalog; no rows of the table.
     stale = [r["p"] for r in held.join(loaded, "p", "left_anti").collect()]
+    joined = rows.where(~inside).select(F.col(period).alias("__joined")).distinct()
+    there = spark.table(table).join(joined, F.col(period).eqNullSafe(F.col("__joined")), "left_semi")
+    written = materialize(rows.unionByName(there), "window")
     # Only the session setting reaches a catalog table; the writer's option would be ignored.
     mode = spark.conf.get(_OVERWRITE_MODE)
     spark.conf.set(_OVERWRITE_MODE, "dynamic")
     try:
-        rows.where(inside).write.insertInto(table, overwrite=True)
+        written.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(_OVERWRITE_MODE, mode)
     if stale:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({period} = '{p}')" for p in stale))
-    rows.where(~inside).write.insertInto(table)
 
 
 def rewrite_published(
