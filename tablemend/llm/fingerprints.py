@@ -4,6 +4,10 @@ A document keeps the terms whose inverse document frequency lies in a band: freq
 document alone is often a slip. The distinct terms are sorted and hashed, not once but for several random subsets of the
 lexicon, so that a document with some other terms still shares the hashes of the subsets that none of them is in.
 
+Subsets come in groups. Within a group each holds half the words of the one before, so that long texts, which differ in
+many words, have sparse subsets to agree in, and short texts dense ones to have terms in at all. The densest subsets of a
+long text would tell nothing: a text uses those that leave it some `terms` terms at most, by the number of its words.
+
 Only DataFrame functions are used, and all terms are 64-bit hashes of words.
 """
 
@@ -14,27 +18,59 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablemend.llm.names import free_name
+
 _BETWEEN = r"[^\p{L}\p{N}]+"
 _PLACES = 1 << 36
 
 
 @dataclass(frozen=True)
 class Lexicons:
-    """Random subsets of the lexicon: one in `share` of all words can be in any of them, and subset i takes one in
-    `rates[i]` of those. Sparse subsets outlast large edits of long documents, dense ones tell short documents apart.
-    """
+    """Random subsets of the lexicon: in each of `groups` groups, subset k of `levels` takes one word in 2 ** (k + 1)."""
 
-    share: int = 1
-    rates: tuple[int, ...] = (2, 2, 4, 4, *[8] * 4, *[16] * 8, *[32] * 8, *[64] * 8)
+    groups: int = 10
+    levels: int = 14
+    terms: int = 8
     least_idf: float = 4.0
     least_documents: int = 2
 
 
-def terms(text: str | Column, lexicons: Lexicons) -> Column:
-    """Hashes of the distinct words of a text that belong to the sampled part of the lexicon."""
+def terms(text: str | Column) -> Column:
+    """Hashes of the distinct words of a text."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN)
-    hashes = F.transform(words, lambda w: F.when(w != "", F.xxhash64(w)))
-    return F.array_distinct(F.filter(hashes, lambda h: F.pmod(h, F.lit(lexicons.share)) == 0))
+    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
+
+
+def _level(group: Column, term: Column) -> Column:
+    """How many of a group's subsets hold a term, from the densest: the zeros at the end of a hash."""
+    mark = F.xxhash64(group, term)
+    lowest = mark.bitwiseAND(-mark)
+    return F.length(F.bin(lowest)) - 1
+
+
+def first_level(n_words: str | Column, lexicons: Lexicons) -> Column:
+    """The densest subset, from 1, that a text of so many distinct words uses."""
+    doubled = F.ceil(F.log2(F.greatest(F.col(n_words) if isinstance(n_words, str) else n_words, F.lit(1)) / lexicons.terms))
+    return F.least(F.greatest(doubled, F.lit(1)), F.lit(lexicons.levels)).cast("int")
+
+
+def entries(found: str, version: int, lexicons: Lexicons) -> Column:
+    """Terms of a text by the groups in which some subset it uses holds them: version, group, level, term."""
+    found, least = F.col(found), first_level(F.size(found), lexicons)
+
+    def of_group(group: int) -> Column:
+        listed = F.transform(
+            found,
+            lambda t: F.struct(
+                F.lit(version).cast("byte").alias("version"),
+                F.lit(group).cast("byte").alias("group"),
+                _level(F.lit(group), t).cast("byte").alias("level"),
+                t.alias("term"),
+            ),
+        )
+        return F.filter(listed, lambda e: e["level"] >= least)
+
+    return F.concat(*[of_group(g) for g in range(lexicons.groups)])
 
 
 def band(docs: DataFrame, lexicons: Lexicons, column: str = "terms") -> tuple[DataFrame, DataFrame]:
@@ -50,17 +86,24 @@ def band(docs: DataFrame, lexicons: Lexicons, column: str = "terms") -> tuple[Da
     return inside, counts.where(F.col("n") > limit).select("term")
 
 
-def signature(found: str | Column, otherwise: str | Column, lexicons: Lexicons) -> Column:
-    """Hashes of the subsets of a text's terms, 16 hexadecimal digits each, joined by hyphens; empty where a subset has
-    none. A text without terms in the band has `=` and a hash of itself.
+def signature(found: str, least: str | Column, otherwise: str | Column, lexicons: Lexicons) -> Column:
+    """Hashes of the subsets of a text's entries, sorted by term, 8 hexadecimal digits each, joined by hyphens; empty where
+    a subset has none or is denser than the text uses. A text without terms in the band has `=` and a hash of itself.
     """
 
-    def part(i: int, rate: int) -> Column:
-        chosen = F.filter(F.col("sorted"), lambda t: F.pmod(F.xxhash64(F.lit(i), t), F.lit(rate)) == 0)
-        return F.when(F.size(chosen) > 0, F.lower(F.lpad(F.hex(F.xxhash64(chosen)), 16, "0"))).otherwise("")
+    def of_group(group: int) -> Column:
+        inside = F.filter(F.col(found), lambda e: e["group"] == group)
+
+        def part(level: Column) -> Column:
+            chosen = F.transform(F.filter(inside, lambda e: e["level"] >= level), lambda e: e["term"])
+            digits = F.substring(F.lower(F.lpad(F.hex(F.xxhash64(chosen)), 16, "0")), 1, 8)
+            return F.when((F.size(chosen) > 0) & (level >= least), digits).otherwise("")
 
-    parts = [part(i, rate) for i, rate in enumerate(lexicons.rates)]
-    return F.when(F.size(found) > 0, F.concat_ws("-", *parts)).otherwise(F.concat(F.lit("="), otherwise))
+        levels = F.array(*[F.lit(k) for k in range(1, lexicons.levels + 1)])
+        return F.when(F.size(inside) > 0, F.transform(levels, part)).otherwise(F.transform(levels, lambda k: F.lit("")))
+
+    parts = F.flatten(F.array(*[of_group(g) for g in range(lexicons.groups)]))
+    return F.when(F.size(found) > 0, F.array_join(parts, "-")).otherwise(F.concat(F.lit("="), otherwise))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -71,35 +114,35 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(one == other, 1.0).otherwise(F.size(equal) / F.greatest(F.size(used), F.lit(1)))
 
 
-def fingerprints(rows: DataFrame, versions: dict[str, tuple[str, str]], key: str, counted: str, lexicons: Lexicons) -> DataFrame:
-    """Fingerprints of one or more texts a row: the key and a column for each version.
+def fingerprints(
+    rows: DataFrame, versions: dict[str, str], key: str, lexicon: tuple[DataFrame, DataFrame], lexicons: Lexicons
+) -> DataFrame:
+    """Fingerprints of one or more texts a row: all columns but `entries`, and one for each version.
 
-    `versions` names, for each result, the column of its terms and that of its text's hash. The lexicon is counted over
-    the terms in `counted`. The key is unique; rows and columns stay small, so texts are not among them.
+    `versions` names, for each result, the column of its text's hash; the terms of version i are the entries that carry
+    i, and its column of distinct words is `n_words_<i>`. `lexicon` is what `band` found. The key is unique; rows stay
+    small, so texts are not among them. Names the rows have already are kept apart.
     """
-    inside, frequent = band(rows, lexicons, counted)
-    numbers = {name: i for i, name in enumerate(versions)}
-
-    def listed(version: int, column: str) -> Column:
-        return F.transform(column, lambda t: F.struct(F.lit(version).alias("version"), t.alias("term")))
-
-    listed_terms = F.concat(*[listed(i, column) for i, (column, _) in enumerate(versions.values())])
-    pairs = rows.select(F.col(key).alias("key"), F.explode(listed_terms).alias("p")).select(
-        "key", "p.version", "p.term"
-    )
+    inside, frequent = lexicon
+    own, listed, found_in = (free_name(rows.columns, n) for n in ("own", "entry", "found"))
+    pairs = rows.select(F.col(key).alias(own), F.explode("entries").alias(listed))
+    term = pairs.select(own, f"{listed}.*")
     # Frequent terms go before the shuffle: what is left has no term in more than a small share of the rows.
-    kept = pairs.join(F.broadcast(frequent), "term", "left_anti").join(inside, "term")
-    grouped = kept.groupBy("key").agg(
-        *[
-            F.sort_array(F.collect_list(F.when(F.col("version") == i, F.col("term")))).alias(f"found_{name}")
-            for name, i in numbers.items()
-        ]
-    )
-    joined = rows.join(grouped, F.col(key) == F.col("key"), "left")
-    for name, (_, text_hash) in versions.items():
-        found = F.coalesce(f"found_{name}", F.array().cast("array<long>"))
-        joined = joined.withColumn("sorted", found).withColumn(name, signature("sorted", text_hash, lexicons))
-    return joined.select(*[F.col(c) for c in rows.columns], *versions)
+    kept = term.join(F.broadcast(frequent), "term", "left_anti").join(inside, "term")
+    of_version = [
+        F.sort_array(F.collect_list(F.when(F.col("version") == i, F.struct("group", "term", "level")))).alias(f"{found_in}_{i}")
+        for i in range(len(versions))
+    ]
+    grouped = kept.groupBy(own).agg(*of_version)
+    joined = rows.join(grouped, F.col(key) == F.col(own), "left")
+    kept_columns = [c for c in rows.columns if c != "entries"]
+    none = F.array().cast("array<struct<group:tinyint,term:bigint,level:tinyint>>")
+    for i, (name, text_hash) in enumerate(versions.items()):
+        column = f"{found_in}_{i}"
+        joined = joined.withColumn(column, F.coalesce(column, none))
+        least = first_level(f"n_words_{i}", lexicons)
+        joined = joined.withColumn(name, signature(column, least, text_hash, lexicons))
+    return joined.select(*kept_columns, *versions)
 
 
 def with_next(docs: DataFrame, text: str = "text", key: str = "doc_id", parts: int = 200) -> DataFrame:
@@ -116,14 +159,15 @@ def with_next(docs: DataFrame, text: str = "text", key: str = "doc_id", parts: i
     part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("id"))) if bounds else F.lit(0)
     order = F.struct("id", F.xxhash64("content").alias("mark"))
     dealt = slim.withColumn("part", part).withColumn("order", order).withColumn("last", F.lit(0)).withColumn("from", F.col("part"))
-    # One row per range.
+    # One row per range; the order of the ranges is found from their numbers alone.
     firsts = dealt.groupBy("part").agg(F.min_by(F.struct("id", "content", "order"), "order").alias("row"))
     by_part = Window.orderBy(F.desc("part"))
     whole = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = F.coalesce(F.lead("part").over(by_part), F.first("part").over(whole))
-    borrowed = firsts.select(
-        "row.id", "row.content", before.alias("into"), "row.order", F.lit(1).alias("last"), F.col("part").alias("from")
-    ).withColumnRenamed("into", "part")
+    into = dealt.select("part").distinct().select("part", before.alias("into"))
+    borrowed = firsts.join(F.broadcast(into), "part").select(
+        "row.id", "row.content", F.col("into").alias("part"), "row.order", F.lit(1).alias("last"), F.col("part").alias("from")
+    )
     ordered = Window.partitionBy("part").orderBy("last", "order")
     number = F.row_number().over(ordered)
     following = F.lead(F.struct("content", "last", "from")).over(ordered)

@@ -112,24 +112,28 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     digest = lambda text: F.lower(F.lpad(F.hex(F.xxhash64(text)), 16, "0"))
+    words = texts.withColumn("edited", edited).withColumns(
+        {"terms_0": fingerprints.terms("text"), "terms_1": fingerprints.terms("edited")}
+    )
     rows = materialize(
-        texts.withColumn("edited", edited).select(
+        words.select(
             "doc_id",
             "place",
             "next_place",
             n.cast("long").alias("n_chars"),
             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            fingerprints.terms("text", lexicons).alias("terms"),
-            fingerprints.terms("edited", lexicons).alias("edited_terms"),
+            F.size("terms_0").alias("n_words_0"),
+            F.size("terms_1").alias("n_words_1"),
+            F.concat(*[fingerprints.entries(f"terms_{i}", i, lexicons) for i in (0, 1)]).alias("entries"),
             digest("text").alias("text_hash"),
             digest("edited").alias("edited_hash"),
         ),
-        "terms",
-    )
-    versions = {"fingerprint": ("terms", "text_hash"), "edited_fingerprint": ("edited_terms", "edited_hash")}
-    found = materialize(
-        fingerprints.fingerprints(rows, versions, "place", "terms", lexicons).drop("terms", "edited_terms"), "imatch"
+        "entries",
     )
+    listed = table(spark, sf_dir, "documents").select(fingerprints.terms("text").alias("terms"))
+    lexicon = fingerprints.band(listed, lexicons)
+    versions = {"fingerprint": "text_hash", "edited_fingerprint": "edited_hash"}
+    found = materialize(fingerprints.fingerprints(rows, versions, "place", lexicon, lexicons), "imatch")
     following = found.select(F.col("place").alias("at"), F.col("fingerprint").alias("next_fingerprint"))
     return found.join(following, F.col("next_place") == F.col("at")).select(
         "doc_id",

@@ -91,54 +91,51 @@ def test_imatch_contract(spark, docs):
 
 
 def test_imatch_against_plain_python(spark, docs):
-    """Fingerprints from plain sets: distinct sampled words in the band, sorted, hashed by subset."""
-    from pyspark.sql import functions as F
+    """Both fingerprints of the query from plain sets: distinct words in the band, sorted, hashed by subset."""
+    import regex
 
     from tablemend.llm import fingerprints as fp
 
-    lexicons = fp.Lexicons(share=2, rates=(2, 4), least_idf=3.0)
-    few = spark.createDataFrame(docs[["doc_id", "text"]])
-    rows = few.select(
-        "doc_id",
-        fp.terms("text", lexicons).alias("terms"),
-        F.lower(F.lpad(F.hex(F.xxhash64("text")), 16, "0")).alias("text_hash"),
-    )
-    got = fp.fingerprints(rows, {"fingerprint": ("terms", "text_hash")}, "doc_id", "terms", lexicons)
-    got = {r.doc_id: r.fingerprint for r in got.collect()}
-    import regex
+    lexicons = fp.Lexicons()
+    got = queries()["op5_imatch"](spark, SF_DIR).toPandas().set_index("doc_id")
 
     def signed(x):
         return x - 2**64 if x >> 63 else x
 
     def chain(values, seed=42):
         for v in values:
-            seed = xxhash.xxh64_intdigest(v, seed)
+            seed = xxhash.xxh64_intdigest((v % 2**64).to_bytes(8, "little"), seed)
         return seed
 
-    def long_bytes(v):
-        return (v % 2**64).to_bytes(8, "little")
+    def words(text):
+        return {signed(xxhash.xxh64_intdigest(w, 42)) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
 
-    found = {}
-    for d, text in zip(docs.doc_id, docs.text, strict=True):
-        words = {w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
-        found[d] = {h for h in (signed(xxhash.xxh64_intdigest(w, 42)) for w in words) if h % 2 == 0}
     counts = defaultdict(int)
-    for terms in found.values():
-        for t in terms:
+    texts = [t or "" for t in docs.text]
+    for text in texts:
+        for t in words(text):
             counts[t] += 1
-    most = max(int(len(found) * np.exp(-3.0)), 2)
-    for d, terms in found.items():
-        kept = sorted(t for t in terms if 2 <= counts[t] <= most)
-        if not kept:
-            assert got[d].startswith("=")
-            continue
+    most = max(int(len(texts) * np.exp(-lexicons.least_idf)), lexicons.least_documents)
+
+    def plain(text):
+        found = words(text)
+        least = min(max(int(np.ceil(np.log2(max(len(found), 1) / lexicons.terms))), 1), lexicons.levels)
+        kept = sorted(t for t in found if lexicons.least_documents <= counts[t] <= most)
         parts = []
-        for i, rate in enumerate((2, 4)):
-            chosen = [
-                t for t in kept if signed(xxhash.xxh64_intdigest(long_bytes(t), chain([i.to_bytes(4, "little")]))) % rate == 0
-            ]
-            parts.append(f"{chain(map(long_bytes, chosen)):016x}" if chosen else "")
-        assert got[d] == "-".join(parts)
+        for group in range(lexicons.groups):
+            start = xxhash.xxh64_intdigest(group.to_bytes(4, "little"), 42)
+            level = {t: (h & -h).bit_length() - 1 for t in kept for h in [chain([t], start) or 2**63]}
+            for k in range(1, lexicons.levels + 1):
+                chosen = [t for t in kept if level[t] >= k] if k >= least else []
+                parts.append(f"{chain(chosen):016x}"[:8] if chosen else "")
+        return "-".join(parts) if any(parts) else "="
+
+    for i, d in enumerate(docs.doc_id):
+        half = len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[(i + 1) % len(texts)][:half]
+        for name, text in (("fingerprint", texts[i]), ("edited_fingerprint", edited)):
+            want, have = plain(text), got[name][d]
+            assert have.startswith("=") if want == "=" else have == want
 
 
 def test_simhash_components_against_all_pairs(spark, docs):
