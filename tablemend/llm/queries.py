@@ -164,22 +164,22 @@ TOOL_FIELDS = [
 
 OP9_SQL = """
 WITH calls AS (
-  SELECT conv_id, 'c' || turn AS call_id, turn, length(text) AS n,
-    CAST(to_json(substr(text, 1, 40)) AS VARCHAR) AS head, (turn // 2) % 3 AS kind
+  SELECT conv_id, 'c' || turn AS call_id, turn, length(text) AS n, text,
+    CAST(to_json(text) AS VARCHAR) AS head, (turn // 2) % 3 AS kind
   FROM conversations WHERE role = 'assistant'),
 given AS (
   SELECT *, CASE n % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'translate' WHEN 2 THEN 'lookup' ELSE 'mystery' END AS name,
     CASE WHEN kind = 0 THEN ['c' || (turn + 2)] WHEN kind = 2 THEN ['c' || (turn - 2)] ELSE [] END AS uses FROM calls),
 argued AS (
   SELECT *,
-    CASE WHEN n % 11 = 0 THEN '"oops"'
+    CASE WHEN n % 11 = 0 THEN CAST(to_json('oops ' || text) AS VARCHAR)
       WHEN name = 'search' AND n % 7 = 0 THEN '{"limit":"many","query":' || head || '}'
       WHEN name = 'search' THEN '{"limit":' || n || ',"query":' || head || '}'
       WHEN name = 'translate' AND n % 5 = 0 THEN '{"text":' || head || '}'
       WHEN name = 'translate' THEN '{"target":"en","text":' || head || '}'
       WHEN name = 'lookup' AND n % 3 = 0 THEN '{"exact":true,"fuzzy":1.5,"key":' || head || '}'
       WHEN name = 'lookup' THEN '{"exact":false,"key":' || head || '}'
-      ELSE '{}' END AS arguments,
+      ELSE '{"text":' || head || '}' END AS arguments,
     CASE WHEN name = 'mystery' THEN 'unknown_tool'
       WHEN n % 11 = 0 THEN 'not_json'
       WHEN name = 'search' AND n % 7 = 0 THEN 'kind:limit'
@@ -213,17 +213,22 @@ UNION ALL
 SELECT conv_id, CAST(place AS BIGINT), 1, call_id, status, sequence, problems,
   '{"call_id":"' || call_id || '","content":' || CAST(to_json(content) AS VARCHAR) || ',"role":"tool"}'
 FROM joined WHERE status <> 'no_result'
+UNION ALL
+SELECT conv_id, CAST(turn AS BIGINT), 2, NULL, 'plain', 'as_given', '',
+  '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}'
+FROM conversations WHERE role <> 'assistant' AND NOT (role = 'user' AND turn > 0)
 """
 
 
 @query(OP9_SQL)
 def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of the tool calls that assistants' turns stand for, with the user's next turn as the result.
+    """Messages of the tool calls that assistants' turns stand for, with the user's next turn as the result, and all other
+    turns as plain messages.
 
     What a call is named, given and built on follows from the length and the place of its turn.
     """
     turns = table(spark, sf_dir, "conversations")
-    n, head = F.length("text"), toolcalls.quoted(F.substring("text", 1, 40))
+    n, head = F.length("text"), toolcalls.quoted("text")
     name = F.element_at(F.array(*map(F.lit, ("search", "translate", "lookup", "mystery"))), (n % 4 + 1).cast("int"))
     kind = F.floor(F.col("turn") / 2) % 3
 
@@ -231,14 +236,14 @@ def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.format_string(form, head)
 
     arguments = (
-        F.when(n % 11 == 0, "oops")
+        F.when(n % 11 == 0, F.concat(F.lit("oops "), "text"))
         .when((n % 4 == 0) & (n % 7 == 0), given('{"query": %s, "limit": "many"}'))
         .when(n % 4 == 0, F.format_string('{"query": %s, "limit": %d}', head, n))
         .when((n % 4 == 1) & (n % 5 == 0), given('{"text": %s}'))
         .when(n % 4 == 1, given('{"text": %s, "target": "en"}'))
         .when((n % 4 == 2) & (n % 3 == 0), given('{"key": %s, "fuzzy": 1.50, "exact": true}'))
         .when(n % 4 == 2, given('{"key": %s, "exact": false}'))
-        .otherwise("{ }")
+        .otherwise(given('{ "text": %s }'))
     )
 
     def call_id(shift: int) -> Column:
@@ -253,8 +258,9 @@ def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     schemas = spark.createDataFrame(TOOL_FIELDS, "tool string, field string, kind string, required boolean")
     links = toolcalls.ordered(toolcalls.linked(calls, results))
-    lines_ = toolcalls.messages(toolcalls.validated(links, schemas))
-    return lines_.select(
+    called = toolcalls.messages(toolcalls.validated(links, schemas))
+    others = toolcalls.plain_messages(turns.where("role <> 'assistant' AND NOT (role = 'user' AND turn > 0)"))
+    return called.unionByName(others).select(
         "conv_id", "place", "part", "call_id", "status", F.col("order").alias("sequence"),
         F.array_join("problems", ",").alias("problems"), "line",
     )
@@ -278,7 +284,12 @@ dated AS (
   FROM hosts WHERE m % 2 = 0
   UNION ALL
   SELECT 'domains', regexp_replace(host, '^[^.]*\.', ''), TIMESTAMP '2024-07-01', TIMESTAMP '2024-10-01'
-  FROM hosts GROUP BY regexp_replace(host, '^[^.]*\.', '') HAVING min(m) % 4 = 1),
+  FROM hosts GROUP BY regexp_replace(host, '^[^.]*\.', '') HAVING min(m) % 4 = 1
+  UNION ALL
+  SELECT 'written', host || '/en', TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (m % 40),
+    TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (m % 40 + 90) FROM hosts WHERE m % 5 IN (1, 2)
+  UNION ALL
+  SELECT 'written', host || '/EN', TIMESTAMP '2024-01-01', TIMESTAMP '9999-12-31' FROM hosts WHERE m % 5 = 3),
 hits AS (
   SELECT c.page_id, d.list, d.pattern FROM captures c JOIN dated d
     ON (c.host = d.pattern OR ends_with(c.host, '.' || d.pattern)
@@ -313,6 +324,7 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     host = F.col("host")
     listed = hosts.where(F.col("m") % 3 != 0)
+    written = hosts.where((F.col("m") % 5).isin(1, 2))
     entries = (
         entry(listed, "hosts", host, "add", after(day))
         .union(entry(listed, "hosts", host, "remove", after(day + 60)))
@@ -320,6 +332,11 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .union(entry(hosts.where(F.col("m") % 2 == 0), "paths", F.concat(host, F.lit("/en")), "add", after(F.col("m") % 50)))
         .union(entry(domains, "domains", host, "add", after(F.lit(182))))
         .union(entry(domains, "domains", host, "remove", after(F.lit(274))))
+        # The same pattern with a scheme, a port and capitals is taken off again in its plain form.
+        .union(entry(written, "written", F.concat(F.upper(host), F.lit(":8080/en/")), "add", after(F.col("m") % 40)))
+        .union(entry(written, "written", F.concat(F.lit("http://"), host, F.lit("/en")), "remove", after(F.col("m") % 40 + 90)))
+        # Paths keep their case, so this covers no page under /en.
+        .union(entry(hosts.where(F.col("m") % 5 == 3), "written", F.concat(host, F.lit("/EN")), "add", after(F.lit(0))))
     )
     return urls.judge(captures, materialize(entries, "entries"))
 

@@ -8,12 +8,10 @@ lines are rows with a place, whatever their number.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.session import materialize
+from tablemend.session import materialize, scratch_path
 
 # Kinds of arguments a schema may ask for, and how such a value is written in JSON.
 KINDS = {
@@ -79,7 +77,9 @@ def ordered(links: DataFrame, rounds: int | None = None) -> DataFrame:
         .select(*ids, "place", F.col("open").cast("long").alias("open")),
         "waiting",
     )
-    settled = [fresh]
+    # One folder holds the calls of all rounds, so the plan does not grow with them.
+    folder, done = scratch_path(links.sparkSession, "settled"), 0
+    fresh.write.parquet(f"{folder}/round=0")
     while not fresh.isEmpty() and not waiting.isEmpty():
         used = fresh.select("conv_id", F.col("call_id").alias("used"), F.col("place").alias("after"))
         met = edges.join(used, ["conv_id", "used"]).groupBy(*ids).agg(F.max("after").alias("after"), F.count("*").alias("met"))
@@ -90,8 +90,10 @@ def ordered(links: DataFrame, rounds: int | None = None) -> DataFrame:
         state = materialize(state, "waiting")
         fresh = state.where("open = 0").drop("open")
         waiting = state.where("open > 0")
-        settled.append(fresh)
-    placed = reduce(DataFrame.unionByName, settled).withColumn("settled", F.lit(True))
+        done += 1
+        fresh.write.parquet(f"{folder}/round={done}")
+    placed = links.sparkSession.read.schema(fresh.schema).parquet(folder).select(*fresh.columns)
+    placed = placed.withColumn("settled", F.lit(True))
     order = (
         F.when((F.col("status") != "no_call") & F.col("settled").isNull(), "cycle")
         .when(F.coalesce("gap", F.lit(False)), "missing")
@@ -184,3 +186,23 @@ def messages(links: DataFrame) -> DataFrame:
     calls = links.where("status <> 'no_call'").select(*base, F.lit(0).alias("part"), canonical(call).alias("line"))
     results = links.where("status <> 'no_result'").select(*base, F.lit(1).alias("part"), canonical(result).alias("line"))
     return calls.unionByName(results)
+
+
+def plain_messages(turns: DataFrame) -> DataFrame:
+    """Turns (conv_id, turn, role, text) that are no part of a call, in the columns of `messages` with part 2.
+
+    Null texts are empty; other columns are left out.
+    """
+    fields = F.create_map(
+        F.lit("role"), quoted(F.coalesce("role", F.lit(""))), F.lit("content"), quoted(F.coalesce("text", F.lit("")))
+    )
+    return turns.select(
+        "conv_id",
+        F.col("turn").cast("long").alias("place"),
+        F.lit(None).cast("string").alias("call_id"),
+        F.lit("plain").alias("status"),
+        F.lit("as_given").alias("order"),
+        F.array().cast("array<string>").alias("problems"),
+        F.lit(2).alias("part"),
+        canonical(fields).alias("line"),
+    )

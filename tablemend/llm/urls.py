@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tablemend.llm.names import free_name
 
-_URL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)"
+# What stands before a colon is a scheme only if slashes follow; otherwise it is a host with a port.
+_URL = r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//)?([^/?#]*)([^?#]*)"
 # A URL of this host depth and path depth has at most their sum of keys.
 _FOREVER = "9999-12-31 00:00:00"
 
@@ -29,6 +30,18 @@ def path(url: str | Column) -> Column:
     return F.regexp_replace(F.regexp_extract(url, _URL, 2), "/+$", "")
 
 
+def _path_parts(url: str | Column) -> Column:
+    return F.filter(F.split(path(url), "/"), lambda p: p != "")
+
+
+def pattern_key(pattern: str | Column) -> Column:
+    """A pattern in the form of a URL's keys: scheme, login, port, query and final slash gone, the host in lower case.
+
+    Paths keep their case. A pattern without a host covers nothing.
+    """
+    return F.when(host(pattern) != "", F.array_join(F.concat(F.array(host(pattern)), _path_parts(pattern)), "/"))
+
+
 def url_keys(url: str | Column) -> Column:
     """All patterns that cover a URL: its host and the domains above, and the host with every start of its path."""
     labels = F.split(host(url), r"\.")
@@ -36,7 +49,7 @@ def url_keys(url: str | Column) -> Column:
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
-    parts = F.filter(F.split(path(url), "/"), lambda p: p != "")
+    parts = _path_parts(url)
     prefixes = F.when(
         F.size(parts) > 0,
         F.transform(
@@ -50,11 +63,13 @@ def url_keys(url: str | Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """Validity intervals [valid_from, valid_to) from entries (list, pattern, action, dated).
 
-    The action is `add` or `remove`. Of entries of one list and pattern at one time, a removal counts. An addition holds
+    The action is `add` or `remove`. Patterns are first brought to the form of `pattern_key`, so an entry also ends what
+    another way of writing its pattern began. Of entries of one list and pattern at one time, a removal counts. An addition holds
     until the next entry's date that differs in its action, or for ever; repeated additions do not split it. Entries with
     a null in list, pattern or date, or another action, are left out.
     """
-    known = entries.where(
+    keyed = entries.withColumn("pattern", pattern_key("pattern"))
+    known = keyed.where(
         F.col("list").isNotNull()
         & F.col("pattern").isNotNull()
         & F.col("dated").isNotNull()
@@ -68,7 +83,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     ended = changes.withColumn("valid_to", F.lead("dated").over(order)).where("action = 'add'")
     forever = F.lit(_FOREVER).cast(entries.schema["dated"].dataType)
     return ended.select(
-        "list", F.lower("pattern").alias("pattern"), F.col("dated").alias("valid_from"), F.coalesce("valid_to", forever).alias("valid_to")
+        "list", "pattern", F.col("dated").alias("valid_from"), F.coalesce("valid_to", forever).alias("valid_to")
     )
 
 

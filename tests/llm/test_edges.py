@@ -280,7 +280,10 @@ def test_urls(spark):
             ("a", "bad.org", "add", day[3]),
             ("a", "bad.org", "remove", day[5]),
             ("a", "bad.org", "add", day[9]),
-            ("b", "Good.net/X/y".lower(), "add", day[0]),
+            ("b", "Good.net:8080/X/y/", "add", day[0]),
+            ("c", "Gone.ORG", "add", day[0]),
+            ("c", "http://gone.org/", "remove", day[3]),
+            ("c", "/nothing", "add", day[0]),
             ("b", "tie.com", "add", day[0]),
             ("b", "tie.com", "remove", day[0]),
             ("b", None, "add", day[0]),
@@ -295,8 +298,11 @@ def test_urls(spark):
         (4, "https://notbad.org/", day[4]),
         (5, "https://bad.org/", day[5]),
         (6, "https://bad.org/", day[18]),
-        (7, "https://good.net/x/y/z?q=1", day[1]),
-        (8, "https://good.net/x/yy", day[1]),
+        (7, "https://good.net/X/y/z?q=1", day[1]),
+        (8, "https://good.net/X/yy", day[1]),
+        (13, "https://good.net/x/y", day[1]),
+        (14, "gone.org:80/a", day[2]),
+        (15, "https://gone.org/a", day[4]),
         (9, None, day[1]),
         (10, "https://bad.org/", None),
         (None, "https://bad.org/", day[4]),
@@ -308,7 +314,7 @@ def test_urls(spark):
     got = urls.judge(captures, entries).toPandas()
     assert len(got) == len(rows)
     blocked = sorted(got[got.blocked].page_id.fillna(0))
-    assert blocked == [0, 2, 3, 6, 6, 7]
+    assert blocked == [0, 2, 3, 6, 6, 7, 14]
     assert urls.listed_at_fetch(captures, entries).columns[-1] == "hit_"
     assert urls.judge(captures.limit(0), entries).count() == 0
     assert not urls.judge(captures, entries.limit(0)).where("blocked").count()
@@ -362,6 +368,9 @@ def test_tool_calls(spark):
     assert len(lines_) == 6 + 3
     none = toolcalls.validated(toolcalls.ordered(toolcalls.linked(calls.limit(0), results.limit(0))), schemas.limit(0))
     assert toolcalls.messages(none).count() == 0
+    turns = spark.createDataFrame([(1, 0, "system", LONG), (1, 1, None, None)], "conv_id long, turn int, role string, text string")
+    plain = {r.place: r.line for r in toolcalls.plain_messages(turns.withColumn("line", F.lit(0))).collect()}
+    assert plain == {0: f'{{"content":"{LONG}","role":"system"}}', 1: '{"content":"","role":""}'}
 
 
 def test_pipeline_stages_on_odd_rows(spark, docs, empty, tmp_path):
