@@ -26,7 +26,7 @@ from tablemend.session import materialize
 # Words whose ids a worker remembers; beyond that it starts anew, which changes the speed only.
 _REMEMBERED_WORDS = 800_000
 # Bytes of text looked at together.
-_PART_BYTES = 2 << 20
+_PART_BYTES = 8 << 20
 
 
 class WordIds:
