@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablemend.checks import fixtures as X
@@ -11,7 +13,9 @@ from tablemend.checks.registry import ORACLES, query
 from tablemend.operators import counts as C
 from tablemend.operators import digests as D
 from tablemend.operators import upsert as U
+from tablemend.operators.dedupe import latest_per_key
 from tablemend.session import materialize, scratch_path
+from tablemend.sinks import files as K
 from tablemend.sources import files as S
 from tablemend.sources import ranges as R
 from tablemend.streaming import jobs
@@ -143,6 +147,36 @@ def incremental_sums(spark, sf_dir):
     return C.total_of_files(C.refreshed_file_sums(spark, path, ["o_totalprice"], known), "orders")
 
 
+@query(f"{X.COPIES_SQL}, v AS ({X.DUPLICATES_SQL}) {upsert_sql('SELECT * FROM t', latest_sql('SELECT * FROM v'))}")
+def upsert_bucketed(spark, sf_dir):
+    """Latest versions into a target of sixteen buckets."""
+    table = f"bucketed_{uuid.uuid4().hex}"
+    K.write_bucketed(X.target_orders(spark, sf_dir), table, X.KEYS, 16, scratch_path(spark, "bucketed"))
+    changes = latest_per_key(X.versioned_orders(spark, sf_dir), X.KEYS, ["chg_dtm"])
+    return U.upsert_bucketed(spark.table(table), changes, X.KEYS)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def appended_runs(spark, sf_dir):
+    """Two runs, the first of them repeated."""
+    path = scratch_path(spark, "runs-appended")
+    rows = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for run, part in (("a", rows.limit(10)), ("b", rows.where("o_orderstatus = 'F'")), ("a", rows)):
+        K.append_run(part, path, run)
+    return spark.read.parquet(path).drop("run")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def resumed_load(spark, sf_dir):
+    """A load in eight key ranges that was cut off after three of them and is taken up again."""
+    rows = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path, ranges = scratch_path(spark, "resumed"), R.key_ranges(rows, "o_orderkey", 8)
+    K.load_missing(rows, ranges[:3], path)
+    if K.load_missing(rows, ranges, path) != list(range(3, len(ranges))):
+        raise ValueError("complete ranges were loaded again")
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
 _PARTIAL_SQL = f"""{X.COPIES_SQL}, k AS (SELECT o_orderkey, o_orderkey % 3 = 0 AS d, o_orderkey % 2 = 0 AS e1,
  o_orderkey % 5 = 0 AS e3, o_orderkey % 7 = 0 AS e4 FROM orders)
  SELECT k.o_orderkey, CASE WHEN NOT d THEN t.o_custkey END AS o_custkey,

@@ -138,6 +138,7 @@ def _log_names(full_name: Column) -> list[Column]:
     return [F.split_part(full_name, F.lit("."), F.lit(1)).alias("schema_name"), F.split_part(full_name, F.lit("."), F.lit(2)).alias("table_name")]
 
 
+# The fields of both logs have these names.
 def count_log(source: DataFrame, target: DataFrame, verify_date: str, database: str, by_load_day: str) -> DataFrame:
     """Compared counts of profiles named `schema.table` as rows of the count log; no count is zero."""
     compared = compare_counts(source, target)

@@ -81,6 +81,24 @@ def upsert(
     return _merge(target, source, keys, columns, F.lit(False))
 
 
+def upsert_bucketed(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """The rows of `upsert` for a target bucketed by its keys, see `write_bucketed`.
+
+    The join is on the keys alone, so that only the change set is shuffled, to the target's buckets, whatever its size.
+    Rows without a complete key match nothing and are added on both sides.
+    """
+    columns = list(dict.fromkeys([*keys, *(columns or [c for c in source.columns if c in target.columns])]))
+    named = [F.col(c).alias(_NEW + c) for c in columns]
+    whole = source.where(keys_present(keys)).select(*named, F.lit(True).alias(_THERE))
+    on = [F.col(k) == F.col(_NEW + k) for k in keys]
+    merged = target.where(keys_present(keys)).join(whole.hint("merge"), on, "full_outer").select(*_written(target, keys, columns))
+    types = {f.name: f.dataType for f in target.schema}
+    loose = source.where(~keys_present(keys)).select(
+        *[(F.col(c) if c in columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns]
+    )
+    return merged.unionByName(target.where(~keys_present(keys))).unionByName(loose)
+
+
 def dedupe_upsert(
     target: DataFrame, staged: DataFrame, keys: list[str], order: list[str], columns: list[str] | None = None
 ) -> DataFrame:

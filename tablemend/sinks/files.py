@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.session import materialize
+from tablemend.session import exists, materialize
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -48,10 +48,42 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def append_batches(df: DataFrame, target: str | Mapping[str, str], batch: int = 10_000) -> None:
-    """Append to a folder, or to a database table given by its connection options."""
+    """Append to a folder, or to a database table given by its connection options, `batch` rows at a time.
+
+    A run that is repeated appends its rows again; see `append_run` for folders.
+    """
     _save(df, target, "append", batch)
 
 
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Append the rows of one run to a folder; the same run again replaces its own rows and no others.
+
+    Readers see the run as a column `run`.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def load_missing(source: DataFrame, ranges: list[str], path: str) -> list[int]:
+    """Load a table range by range, each into a folder of its own, and leave out those that are complete already.
+
+    `ranges` are conditions as of `ranges.key_ranges`, kept by the caller between runs. A range that was cut off has no
+    mark of success and is loaded anew. Returns the numbers of the ranges loaded.
+    """
+    spark, loaded = source.sparkSession, []
+    for number, condition in enumerate(ranges):
+        folder = f"{path}/range={number}"
+        if not exists(spark, f"{folder}/_SUCCESS"):
+            source.where(condition).write.mode("overwrite").parquet(folder)
+            loaded.append(number)
+    return loaded
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> None:
+    """A catalog table with a file for each bucket of the keys, sorted by them, so that joins on the keys need no shuffle."""
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer if path is None else writer.option("path", path)).mode("overwrite").saveAsTable(table)
+
+
 def truncate_insert(df: DataFrame, target: str | Mapping[str, str], batch: int = 10_000) -> None:
     """Empty the target and load it; a database table keeps its definition and grants."""
     _save(df, target, "overwrite", batch)

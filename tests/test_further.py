@@ -239,3 +239,37 @@ def test_plan_of_numbering_writes_once(spark, monkeypatch):
     got = numbering.numbered(df, ["g"], ["t"], partitions=5)
     assert len(written_) == 1 and not re.search("rand", got._jdf.queryExecution().toString())
     assert sorted(r.row_no for r in got.where("g = 1").collect()) == list(range(1, 334))
+
+
+def test_merges_leave_the_buckets_of_the_target(spark):
+    from tablemend.operators import pairs
+    from tablemend.sinks import files as sinks
+
+    df = spark.range(3000).selectExpr("id AS k", "id % 7 AS v")
+    table = "bucketed_target"
+    sinks.write_bucketed(df.unionByName(spark.sql("SELECT CAST(NULL AS LONG) AS k, 1L AS v")), table, ["k"], 16, scratch_path(spark, "b"))
+    source = spark.range(2000, 4000).selectExpr("id AS k", "-1L AS v").unionByName(spark.sql("SELECT CAST(NULL AS LONG) AS k, 2L AS v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        target = spark.table(table)
+        merged = upsert.upsert_bucketed(target, source, ["k"])
+        assert rows(merged) == rows(upsert.upsert(target, source, ["k"]))
+        for found in (merged, upsert.sync_deletes(target, source, ["k"]), pairs.still_missing(source.withColumn("batch_id", F.lit("b")), target, ["k"], "b")):
+            plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+            assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_ranges_that_were_cut_off_are_loaded_again(spark):
+    from tablemend.session import exists, remove
+    from tablemend.sinks import files as sinks
+
+    df, path = spark.range(100), scratch_path(spark, "cut-off")
+    found = ["id < 50", "id >= 50"]
+    assert sinks.load_missing(df, found, path) == [0, 1]
+    remove(spark, f"{path}/range=1/_SUCCESS")
+    assert not exists(spark, f"{path}/range=1/_SUCCESS")
+    assert sinks.load_missing(df, found, path) == [1] and spark.read.schema(df.schema).parquet(path).count() == 100
