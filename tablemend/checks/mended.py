@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -299,6 +301,40 @@ def verify_catalog(spark, sf_dir):
     return found.union(failed)
 
 
+_SLOW_SECONDS, _LIMIT_SECONDS = 90, 30
+
+
+def _slow(rows):
+    """The rows, by a single task that takes far longer than any limit."""
+
+    def wait(batches):
+        time.sleep(_SLOW_SECONDS)
+        yield from batches
+
+    return rows.coalesce(1).mapInArrow(wait, rows.schema)
+
+
+@query(
+    f"""{_catalog_sql(False)}
+ UNION ALL SELECT 'app.gone', 'failed', 1 UNION ALL SELECT 'app.slow', 'timed out', 1"""
+)
+def verify_catalog_pools(spark, sf_dir):
+    """Two schemas side by side: a table that cannot be opened and one that takes too long are reported, the rest completes."""
+    opened = _opener(spark, sf_dir)
+
+    def open_table(name, keys):
+        if name != "app.slow":
+            return opened(name, keys)
+        check = opened("app.events", ["user_id", "event_id"])
+        return replace(check, source=_slow(check.source))
+
+    catalog = _keys(spark).union(spark.createDataFrame([("app", "slow", "event_id", 1, "Y")], _keys(spark).schema))
+    path = scratch_path(spark, "pools-log")
+    status = G.check_all(spark, catalog, open_table, _EVER, "b4", path, side_by_side=2, seconds=_LIMIT_SECONDS)
+    found = G.read_log(spark, path, "b4").groupBy("table_nm", "kind").agg(F.count("*").alias("n"))
+    return found.union(status.where("status <> 'done'").select("table_nm", "status", F.lit(1).cast("long")))
+
+
 @query(_catalog_sql(True))
 def repair_catalog(spark, sf_dir):
     """After the repair of all tables only keys of the target alone are left."""
