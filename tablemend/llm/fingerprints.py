@@ -41,11 +41,14 @@ def terms(text: str | Column) -> Column:
     return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
+def _mark(group: Column, term: Column) -> Column:
+    """A hash whose zeros at the end tell how many of a group's subsets hold a term, from the densest."""
+    return F.xxhash64(group, term)
+
+
 def _level(group: Column, term: Column) -> Column:
-    """How many of a group's subsets hold a term, from the densest: the zeros at the end of a hash."""
-    mark = F.xxhash64(group, term)
-    lowest = mark.bitwiseAND(-mark)
-    return F.length(F.bin(lowest)) - 1
+    mark = _mark(group, term)
+    return F.length(F.bin(mark.bitwiseAND(-mark))) - 1
 
 
 def first_level(n_words: str | Column, lexicons: Lexicons) -> Column:
@@ -56,19 +59,22 @@ def first_level(n_words: str | Column, lexicons: Lexicons) -> Column:
 
 def entries(found: str, version: int, lexicons: Lexicons) -> Column:
     """Terms of a text by the groups in which some subset it uses holds them: version, group, level, term."""
-    found, least = F.col(found), first_level(F.size(found), lexicons)
+    found = F.col(found)
+    # Bits that are zero for the terms of the densest subset used.
+    zeros = F.call_function("shiftleft", F.lit(1).cast("long"), first_level(F.size(found), lexicons)) - 1
 
     def of_group(group: int) -> Column:
-        listed = F.transform(
-            found,
+        number = F.lit(group)
+        held = F.filter(found, lambda t: _mark(number, t).bitwiseAND(zeros) == 0)
+        return F.transform(
+            held,
             lambda t: F.struct(
                 F.lit(version).cast("byte").alias("version"),
-                F.lit(group).cast("byte").alias("group"),
-                _level(F.lit(group), t).cast("byte").alias("level"),
+                number.cast("byte").alias("group"),
+                _level(number, t).cast("byte").alias("level"),
                 t.alias("term"),
             ),
         )
-        return F.filter(listed, lambda e: e["level"] >= least)
 
     return F.concat(*[of_group(g) for g in range(lexicons.groups)])
 
@@ -86,24 +92,23 @@ def band(docs: DataFrame, lexicons: Lexicons, column: str = "terms") -> tuple[Da
     return inside, counts.where(F.col("n") > limit).select("term")
 
 
-def signature(found: str, least: str | Column, otherwise: str | Column, lexicons: Lexicons) -> Column:
-    """Hashes of the subsets of a text's entries, sorted by term, 8 hexadecimal digits each, joined by hyphens; empty where
-    a subset has none or is denser than the text uses. A text without terms in the band has `=` and a hash of itself.
+def signature(groups: list[str], least: str | Column, otherwise: str | Column, lexicons: Lexicons) -> Column:
+    """Hashes of the subsets of a text's entries, which come by group and sorted by term, 8 hexadecimal digits each, joined
+    by hyphens; empty where a subset has none or is denser than the text uses. A text without terms in the band has `=` and
+    a hash of itself.
     """
+    levels = F.array(*[F.lit(k) for k in range(1, lexicons.levels + 1)])
 
-    def of_group(group: int) -> Column:
-        inside = F.filter(F.col(found), lambda e: e["group"] == group)
-
+    def of_group(entries: str) -> Column:
         def part(level: Column) -> Column:
-            chosen = F.transform(F.filter(inside, lambda e: e["level"] >= level), lambda e: e["term"])
+            chosen = F.transform(F.filter(entries, lambda e: e["level"] >= level), lambda e: e["term"])
             digits = F.substring(F.lower(F.lpad(F.hex(F.xxhash64(chosen)), 16, "0")), 1, 8)
-            return F.when((F.size(chosen) > 0) & (level >= least), digits).otherwise("")
+            return F.when((level >= least) & F.exists(entries, lambda e: e["level"] >= level), digits).otherwise("")
 
-        levels = F.array(*[F.lit(k) for k in range(1, lexicons.levels + 1)])
-        return F.when(F.size(inside) > 0, F.transform(levels, part)).otherwise(F.transform(levels, lambda k: F.lit("")))
+        return F.when(F.size(entries) > 0, F.array_join(F.transform(levels, part), "-")).otherwise("-" * (lexicons.levels - 1))
 
-    parts = F.flatten(F.array(*[of_group(g) for g in range(lexicons.groups)]))
-    return F.when(F.size(found) > 0, F.array_join(parts, "-")).otherwise(F.concat(F.lit("="), otherwise))
+    filled = sum((F.size(g) for g in groups), F.lit(0))
+    return F.when(filled > 0, F.concat_ws("-", *map(of_group, groups))).otherwise(F.concat(F.lit("="), otherwise))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -137,12 +142,23 @@ def fingerprints(
     joined = rows.join(grouped, F.col(key) == F.col(own), "left")
     kept_columns = [c for c in rows.columns if c != "entries"]
     none = F.array().cast("array<struct<group:tinyint,term:bigint,level:tinyint>>")
-    for i, (name, text_hash) in enumerate(versions.items()):
-        column = f"{found_in}_{i}"
-        joined = joined.withColumn(column, F.coalesce(column, none))
-        least = first_level(f"n_words_{i}", lexicons)
-        joined = joined.withColumn(name, signature(column, least, text_hash, lexicons))
-    return joined.select(*kept_columns, *versions)
+    # The entries of each group as a column of their own: subsets look at a few entries, not at all of them.
+    def of_group(column: str, group: int) -> Column:
+        return F.filter(F.coalesce(column, none), lambda e: e["group"] == group)
+
+    by_group = {
+        f"{found_in}_{i}_{g}": of_group(f"{found_in}_{i}", g)
+        for i in range(len(versions))
+        for g in range(lexicons.groups)
+    }
+    joined = joined.withColumns(by_group)
+    signatures = [
+        signature(
+            [f"{found_in}_{i}_{g}" for g in range(lexicons.groups)], first_level(f"n_words_{i}", lexicons), text_hash, lexicons
+        ).alias(name)
+        for i, (name, text_hash) in enumerate(versions.items())
+    ]
+    return joined.select(*kept_columns, *signatures)
 
 
 def with_next(docs: DataFrame, text: str = "text", key: str = "doc_id", parts: int = 200) -> DataFrame:

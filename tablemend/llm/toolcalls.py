@@ -51,30 +51,79 @@ def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+_IDS = ["conv_id", "call_id"]
+
+
+def _hops(edges: DataFrame, calls: DataFrame) -> DataFrame:
+    """Calls that use one other each, led on to the first call that uses none or several: conv_id, call_id, `ptr`, and
+    `add` and `base`, by which the place is the greater of base and the place of ptr plus add. Those without such an end
+    wait for a cycle and are left out.
+
+    Every round doubles the steps taken, so there are as many as the longest chain's length has binary digits.
+    """
+    used_once = edges.groupBy(*_IDS).agg(F.count("*").alias("n"), F.min("used").alias("ptr")).where("n = 1").drop("n")
+    hops = materialize(
+        used_once.join(calls, _IDS).select(*_IDS, "ptr", F.lit(1).cast("long").alias("add"), F.col("place").alias("base")), "hops"
+    )
+    # More steps than there are calls go round a cycle.
+    for _ in range(hops.count().bit_length() + 1):
+        ahead = hops.select(
+            "conv_id", F.col("call_id").alias("ptr"), F.col("ptr").alias("next"), F.col("add").alias("more"), F.col("base").alias("floor")
+        )
+        if hops.join(ahead, ["conv_id", "ptr"], "left_semi").isEmpty():
+            break
+        hops = materialize(
+            hops.join(ahead, ["conv_id", "ptr"], "left").select(
+                *_IDS,
+                F.coalesce("next", "ptr").alias("ptr"),
+                (F.col("add") + F.coalesce("more", F.lit(0))).alias("add"),
+                F.greatest("base", F.coalesce(F.col("floor") + F.col("add"), "base")).alias("base"),
+            ),
+            "hops",
+        )
+    ends = hops.select("conv_id", F.col("call_id").alias("ptr"))
+    return hops.join(ends, ["conv_id", "ptr"], "left_anti").select(*hops.columns)
+
+
 def ordered(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """Links with `place`, by which every call comes after the calls whose results it uses, and `order`.
 
     `order` is `as_given` where the turns are such an order already, `moved` where a call had to wait for what it uses,
     `missing` where it uses an id that has no call, and `cycle` for calls that wait for each other, or for such calls; these
-    keep their turn. A call is placed once all calls it uses are: in each round those whose last used call was placed in the
-    round before, until a round places none. What is left then waits for a cycle, in its own conversation only. `rounds`
-    bounds nothing any more; callers may still name it.
+    keep their turn. Chains of calls that use one other each are passed by doubled steps, however long they are. The
+    others are placed once all calls they use are: in each round those whose last used call was placed in the round
+    before, until a round places none, which takes as many rounds as there are calls with several uses on one path. What
+    is left then waits for a cycle, in its own conversation only. `rounds` bounds nothing any more; callers may still
+    name it.
     """
-    ids = ["conv_id", "call_id"]
     turn = F.coalesce("turn", "result_turn", F.lit(0)).cast("long")
     given = materialize(links.withColumn("turn_", turn), "links")
-    edges = given.select(*ids, F.explode("uses").alias("used")).where(F.col("used").isNotNull()).distinct()
+    edges = given.select(*_IDS, F.explode("uses").alias("used")).where(F.col("used").isNotNull()).distinct()
     edges = materialize(edges, "uses")
-    calls = given.where("status <> 'no_call'").select(*ids, F.col("turn_").alias("place"))
+    calls = given.where("status <> 'no_call'").select(*_IDS, F.col("turn_").alias("place"))
     named = calls.select("conv_id", F.col("call_id").alias("used"))
-    unknown = edges.join(named, ["conv_id", "used"], "left_anti").select(*ids).distinct().withColumn("gap", F.lit(True))
+    unknown = edges.join(named, ["conv_id", "used"], "left_anti").select(*_IDS).distinct().withColumn("gap", F.lit(True))
     # Only uses of calls that there are can be waited for.
     edges = materialize(edges.join(named, ["conv_id", "used"], "left_semi"), "known")
-    users = edges.select(*ids).distinct()
-    fresh = materialize(calls.join(users, ids, "left_anti"), "placed")
+    hops = materialize(_hops(edges, calls), "chains")
+    several = edges.groupBy(*_IDS).agg(F.count("*").alias("open")).where("open > 1")
+    led = hops.select("conv_id", F.col("call_id").alias("used"), "ptr", "add", "base")
+    needs = edges.join(several.select(*_IDS), _IDS, "left_semi").join(led, ["conv_id", "used"], "left")
+    needs = materialize(
+        needs.select(
+            *_IDS,
+            F.coalesce("ptr", "used").alias("used"),
+            (F.coalesce("add", F.lit(0)) + 1).alias("weight"),
+            (F.col("base") + 1).alias("floor"),
+        ),
+        "needs",
+    )
+    floors = needs.groupBy(*_IDS).agg(F.max("floor").alias("floor"))
+    fresh = materialize(calls.join(edges.select(*_IDS), _IDS, "left_anti"), "placed")
     waiting = materialize(
-        calls.join(edges.groupBy(*ids).agg(F.count("*").alias("open")), ids)
-        .select(*ids, "place", F.col("open").cast("long").alias("open")),
+        calls.join(several, _IDS)
+        .join(floors, _IDS)
+        .select(*_IDS, F.greatest("place", F.coalesce("floor", "place")).alias("place"), F.col("open").cast("long").alias("open")),
         "waiting",
     )
     # One folder holds the calls of all rounds, so the plan does not grow with them.
@@ -82,25 +131,34 @@ def ordered(links: DataFrame, rounds: int | None = None) -> DataFrame:
     fresh.write.parquet(f"{folder}/round=0")
     while not fresh.isEmpty() and not waiting.isEmpty():
         used = fresh.select("conv_id", F.col("call_id").alias("used"), F.col("place").alias("after"))
-        met = edges.join(used, ["conv_id", "used"]).groupBy(*ids).agg(F.max("after").alias("after"), F.count("*").alias("met"))
-        later = F.greatest("place", F.coalesce(F.col("after") + 1, "place"))
-        state = waiting.join(met, ids, "left").select(
-            *ids, later.alias("place"), (F.col("open") - F.coalesce("met", F.lit(0))).alias("open")
+        met = (
+            needs.join(used, ["conv_id", "used"])
+            .groupBy(*_IDS)
+            .agg(F.max(F.col("after") + F.col("weight")).alias("after"), F.count("*").alias("met"))
+        )
+        state = waiting.join(met, _IDS, "left").select(
+            *_IDS,
+            F.greatest("place", F.coalesce("after", "place")).alias("place"),
+            (F.col("open") - F.coalesce("met", F.lit(0))).alias("open"),
         )
         state = materialize(state, "waiting")
         fresh = state.where("open = 0").drop("open")
         waiting = state.where("open > 0")
         done += 1
         fresh.write.parquet(f"{folder}/round={done}")
-    placed = links.sparkSession.read.schema(fresh.schema).parquet(folder).select(*fresh.columns)
-    placed = placed.withColumn("settled", F.lit(True))
+    ends = links.sparkSession.read.schema(fresh.schema).parquet(folder).select(*fresh.columns)
+    after = ends.select("conv_id", F.col("call_id").alias("ptr"), F.col("place").alias("after"))
+    chained = hops.join(after, ["conv_id", "ptr"]).select(
+        *_IDS, F.greatest("base", F.col("after") + F.col("add")).alias("place")
+    )
+    placed = ends.unionByName(chained).withColumn("settled", F.lit(True))
     order = (
         F.when((F.col("status") != "no_call") & F.col("settled").isNull(), "cycle")
         .when(F.coalesce("gap", F.lit(False)), "missing")
         .when(F.col("place") > F.col("turn_"), "moved")
         .otherwise("as_given")
     )
-    joined = given.join(placed, ids, "left").withColumn("place", F.coalesce("place", "turn_")).join(unknown, ids, "left")
+    joined = given.join(placed, _IDS, "left").withColumn("place", F.coalesce("place", "turn_")).join(unknown, _IDS, "left")
     return joined.withColumn("order", order).drop("turn_", "gap", "settled")
 
 
