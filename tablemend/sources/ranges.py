@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,8 @@ class _KeyReader(DataSourceStreamReader):
     """Offsets are keys: a batch holds the rows beyond the last key, up to the greatest there is when it begins."""
 
     def __init__(self, options: Mapping[str, str], names: list[str]) -> None:
-        self._path, self._key, self._names = options["path"], options["key"], names
+        # A local folder is opened by its plain name, however its scheme is written.
+        self._path, self._key, self._names = re.sub("^file:/+", "/", options["path"]), options["key"], names
         self._splits = int(options.get("splits", "8"))
 
     def _files(self):
