@@ -25,6 +25,8 @@ from tablemend.session import materialize
 
 # Words whose ids a worker remembers; beyond that it starts anew, which changes the speed only.
 _REMEMBERED_WORDS = 800_000
+# Marks that are tokens of their own behind a letter.
+_APART = frozenset(",.")
 # Bytes of text looked at together.
 _PART_BYTES = 8 << 20
 
@@ -74,19 +76,18 @@ class WordIds:
         fall back on their core. (Lowered, a few letters end in a combining mark, which joins the comma's token.)
         """
         known = self._known
-        cores = {}
-        for word in words:
-            apart = len(word) > 1 and word[-1] in ",." and word[-2].isalpha() and word[-2].lower().isalpha()
-            core = word[:-1] if apart else word
-            cores[word] = core.lower() if core.isascii() else core
-        new = (set(cores.values()) | {",", "."}) - known.keys()
+        apart = [w for w in words if w[-1:] in _APART and w[-2:-1].isalpha() and w[-2].lower().isalpha()]
+        whole = list(words.difference(apart))
+        cores = [w.lower() if w.isascii() else w for w in whole]
+        apart_cores = [w[:-1].lower() if w.isascii() else w[:-1] for w in apart]
+        new = {*cores, *apart_cores, *_APART} - known.keys()
         letters = [w for w in new if w.isalpha()]
         rest = [w for w in new if not w.isalpha()]
         known.update(zip(letters, self._in_one_text(letters), strict=True))
         known.update(zip(rest, self._one_by_one(rest), strict=True))
-        for word, core in cores.items():
-            if word not in known:
-                known[word] = known[core] + known[word[-1]] if len(word) > len(core) else known[core]
+        ids = known.__getitem__
+        known.update(zip(whole, map(ids, cores), strict=True))
+        known.update([(w, ids(c) + ids(w[-1])) for w, c in zip(apart, apart_cores, strict=True)])
 
     def _one_by_one(self, words: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch(words, add_special_tokens=False)
