@@ -56,7 +56,8 @@ def _splits(stated: DataFrame) -> DataFrame:
     )
     by_file = Window.partitionBy("file").orderBy("block")
     before = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_file.rowsBetween(1, Window.unboundedFollowing)
+    # Rows behind are taken in falling order: a frame that ends with the partition is gone through anew for every row.
+    after = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     through = F.sum("end.swaps").over(by_file.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # The state at the end of a split that decides alone, less the swaps up to there.
     code = (F.col("end.code") + F.col("end.swaps") + F.col("through")) % 2
@@ -68,7 +69,7 @@ def _splits(stated: DataFrame) -> DataFrame:
             F.col("file").alias("in_file"),
             F.col("block").alias("in_block"),
             ((F.coalesce("known", F.lit(0)) + F.col("through") - F.col("end.swaps")) % 2).alias("begun"),
-            F.coalesce(F.first("first_valid", ignorenulls=True).over(after), F.lit(False)).alias("later_valid"),
+            F.coalesce(F.last("first_valid", ignorenulls=True).over(after), F.lit(False)).alias("later_valid"),
         )
     )
 
@@ -89,14 +90,14 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     same = (F.col("file") == F.col("in_file")) & (F.col("block") == F.col("in_block"))
     joined = stated.join(_splits(stated), same).drop("in_file", "in_block")
     in_order = Window.partitionBy(*_SPLIT).orderBy("n")
-    ahead = in_order.rowsBetween(1, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*_SPLIT).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
     after = F.when(F.col("code").isNotNull(), (F.col("code") + F.col("swaps")) % 2).otherwise(
         (F.col("begun") + F.col("swaps")) % 2
     )
     told = (
         joined.withColumn("after", after)
         .withColumn("before", F.coalesce(F.lag("after").over(in_order), F.col("begun")))
-        .withColumn("closed", F.coalesce(F.first("valid", ignorenulls=True).over(ahead), F.col("later_valid")))
+        .withColumn("closed", F.coalesce(F.last("valid", ignorenulls=True).over(ahead), F.col("later_valid")))
     )
     held = F.col("before") == 1
     starts = ~held | (F.col("quoted") & ~F.col("valid")) | (~F.col("quoted") & ~F.col("closed"))
