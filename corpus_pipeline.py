@@ -46,7 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in pieces with their place in sequences of 2048."""
-    return packing.pack(docs, public_tokenizers.path(VOCABULARY))
+    # Workers also hold what the stages before left behind, so less text at a time.
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY), part_bytes=2 << 20)
 
 
 STAGES: list[tuple[str, Stage]] = [

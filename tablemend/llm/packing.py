@@ -27,7 +27,7 @@ from tablemend.session import materialize
 _REMEMBERED_WORDS = 800_000
 # Marks that are tokens of their own behind a letter.
 _APART = frozenset(",.")
-# Bytes of text looked at together.
+# Bytes of text looked at together: fewer take less memory of a worker and some more time.
 _PART_BYTES = 8 << 20
 
 
@@ -116,10 +116,10 @@ def word_ids(path: str) -> WordIds:
     return _encoders[path]
 
 
-def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.StringArray]]:
+def _parts(texts: pa.Array, part_bytes: int) -> Iterator[tuple[int, pa.StringArray]]:
     """Texts in parts of a bounded total, each with the place of its first; null texts are empty."""
     texts = texts.fill_null("").cast(pa.string())
-    part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) + 64) // _PART_BYTES
+    part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) + 64) // part_bytes
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b > a:
@@ -137,7 +137,15 @@ def _numbers_of(length: np.ndarray, places: np.ndarray) -> np.ndarray:
     return number
 
 
-def cut(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+def cut(
+    docs: DataFrame,
+    vocabulary: str,
+    capacity: int,
+    end_id: int,
+    text: str = "text",
+    key: str = "doc_id",
+    part_bytes: int = _PART_BYTES,
+) -> DataFrame:
     """Pieces of every document: its key, `start`, `length`, `doc_tokens` and the `ids` themselves.
 
     `part` and `place` number the pieces of a length within a task.
@@ -158,7 +166,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, text: str
         part = TaskContext.get().partitionId()
         places = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            for first, some in _parts(batch.column(1)):
+            for first, some in _parts(batch.column(1), part_bytes):
                 ids, sizes = encoder.encode(some)
                 total = sizes + 1
                 ends = np.cumsum(total)
@@ -270,6 +278,7 @@ def pack(
     key: str = "doc_id",
     measures: dict[str, Column] | None = None,
     keep_ids: bool = True,
+    part_bytes: int = _PART_BYTES,
 ) -> DataFrame:
     """Every document's ids in pieces, each with its `sequence_id` and `offset`.
 
@@ -285,7 +294,7 @@ def pack(
     measures = measures or {}
     names = [key, "start", "length", "doc_tokens", *measures, *(["ids"] if keep_ids else [])]
     pieces = materialize(
-        cut(docs, vocabulary, capacity, end_id, text, key)
+        cut(docs, vocabulary, capacity, end_id, text, key, part_bytes)
         .withColumns(measures)
         .select(*names, "part", "place"),
         "pieces",

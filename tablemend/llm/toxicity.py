@@ -24,7 +24,7 @@ _LEAST_WEIGHT = 0.01
 
 
 # Words whose weight a worker remembers; beyond that it starts anew.
-_REMEMBERED_WORDS = 600_000
+_REMEMBERED_WORDS = 200_000
 _PREFIXES = range(3, 10)
 _DOCS_AT_ONCE = 250
 
