@@ -4,8 +4,8 @@ A text is a sequence of words and an end. Every frequent word has a prefix code;
 the codes of its bytes and of its end. Each binary decision of these codes is predicted in several contexts at once:
 none, the ending of the word before, the two words before; within a spelled word, two and four bytes before and its whole beginning. A context and a decision are hashed to a slot that counts zeros and ones over all training documents.
 The predictions are combined in the logistic domain by weights that a gate selects (frequent or spelled word, how much
-two of the contexts have seen), a last map refines the result, and both go on learning within every document, from what
-they have already coded. The cost of a text is the sum over its decisions, so the scores are those of one distribution.
+two of the contexts have seen), a last map refines the result. Both are first fitted to the decisions of all training
+documents and go on learning within every document, from what they have already coded. The cost of a text is the sum over its decisions, so the scores are those of one distribution.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,26 +31,25 @@ _END = b" "
 _CONTEXTS = 3
 _MIX, _STIR = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 # Words counted before a task passes its counts on; bytes of text and words of a text worked on at a time; decisions
-# counted together and learnt from together; slots of a part of the table.
-_COUNTED, _TEXT, _SEGMENT, _BUFFER, _STEP, _PART = 500_000, 1 << 19, 1 << 16, 2_000_000, 512, 1 << 15
+# learnt from together; slots of a part of the table.
+_COUNTED, _TEXT, _SEGMENT, _STEP, _PART = 500_000, 1 << 19, 1 << 16, 512, 1 << 15
 # Counts up to here have a level of their own; levels above grow by a factor.
 _EXACT, _GROWTH, _LEVELS = 64, 1.12, 256
 _PRIOR, _RATE, _LEAST = 0.6, 0.002, 1e-4
-_BINS, _SPAN, _HELD = 33, 8.0, 32.0
+_BINS, _SPAN, _HELD, _NEWTON = 33, 8.0, 32.0, 25
 _GATES = 18
 
 
 @dataclass(frozen=True)
 class Shape:
     """Bounds of a model: words with a code of their own (those that occur `least` times, so that words seen once teach
-    how new ones are spelled), slots a context (as a power of two), and the training documents and bytes of text that the
-    first weights are learnt from. All counts are taken over all training documents."""
+    how new ones are spelled), slots a context (as a power of two), and how many training documents the first weights are
+    learnt from: all unless asked otherwise, with 0 they stay even. All counts are taken over all training documents."""
 
     lexicon: int = 1 << 17
     least: int = 2
     bits: int = 21
-    tuned_rows: int = 400
-    tuned_bytes: int = 2_000_000
+    tuned_rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -226,15 +225,26 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return odds, np.digitize(zeros + ones, [0.5, 3.5]).astype(np.uint8)
 
 
-def _less(states: np.ndarray, slots: np.ndarray, cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """States without the given counts of cells (a slot and a bit each); levels beyond the exact ones hardly change."""
-    levels = [states >> np.uint16(8), states & np.uint16(_LEVELS - 1)]
-    for bit in (0, 1):
-        cell = slots << np.uint32(1) | np.uint32(bit)
-        at = np.searchsorted(cells, cell).clip(max=len(cells) - 1)
-        own = np.where(cells[at] == cell, counts[at], 0)
-        levels[bit] = np.where(levels[bit] <= _EXACT, np.maximum(levels[bit].astype(np.int64) - own, 0), levels[bit])
-    return (levels[0] * _LEVELS + levels[1]).astype(np.uint16)
+def _grades() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The grade of every state, and by grade the log-odds and how much was seen.
+
+    States that have seen nothing are one grade, those that have seen little differ by their odds, and all others by
+    theirs in steps of a half.
+    """
+    odds, seen = _tables()
+    little = np.unique(odds[seen == 1])
+    wide = np.arange(-16, 17, dtype=np.float32) / 2
+    step = np.rint(np.clip(odds, -8, 8) * 2).astype(np.int64) + 16
+    grade = np.select([seen == 0, seen == 1], [0, 1 + np.searchsorted(little, odds)], 1 + len(little) + step)
+    kinds = np.repeat(np.arange(3), [1, len(little), len(wide)])
+    return grade.astype(np.uint8), np.concatenate([np.zeros(1, np.float32), little, wide]), kinds
+
+
+def _less(states: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """States without own counts, both with zeros in the upper and ones in the lower byte; levels beyond the exact ones
+    hardly change, so own counts above those may be cut to a byte."""
+    levels, counts = np.ascontiguousarray(states).view(np.uint8), own.view(np.uint8)
+    return np.where(levels <= _EXACT, levels - np.minimum(levels, counts), levels).view(np.uint16)
 
 
 @dataclass
@@ -252,41 +262,84 @@ class Mixer:
     def copies(self, n: int) -> Mixer:
         return Mixer(np.repeat(self.weights, n, axis=0), np.repeat(self.refined, n, axis=0))
 
+    @classmethod
+    def fitted(cls, counts: np.ndarray) -> Mixer:
+        """Weights and map that fit decisions best, counted by spelled word, bit and the grade of every context.
+
+        Each gate's weights are a logistic regression that is drawn to the even ones like some decisions would, by Newton
+        steps; the map holds the share of ones of its bins.
+        """
+        mixer = cls.new()
+        _, value, seen = _grades()
+        # Spelled words and bits come first.
+        cells = np.flatnonzero(counts.sum(axis=1))
+        zeros, ones = counts.transpose(1, 0, 2).reshape(2, -1)[:, cells].astype(float)
+        spelled, *grades = np.unravel_index(cells, (2, *[len(value)] * _CONTEXTS))
+        odds = np.stack([value[g] for g in grades], axis=1).astype(float)
+        gate = (spelled * 3 + seen[grades[1]]) * 3 + seen[grades[2]]
+        mixed = np.zeros(len(cells))
+        for g in np.unique(gate):
+            at = np.flatnonzero(gate == g)
+            x, n, start = odds[at], zeros[at] + ones[at], mixer.weights[0, g].astype(float)
+            best = start.copy()
+            for _ in range(_NEWTON):
+                chance = 1 / (1 + np.exp(-np.clip(x @ best, -_SPAN, _SPAN)))
+                slope = x.T @ (ones[at] - n * chance) - _HELD * (best - start)
+                step = np.linalg.solve((x * (n * chance * (1 - chance))[:, None]).T @ x + _HELD * np.eye(_CONTEXTS), slope)
+                # No context's word is turned round.
+                best = np.maximum(best + np.clip(step, -0.5, 0.5), 0)
+            mixer.weights[0, g] = best
+            mixed[at] = x @ best
+        low = np.rint((np.clip(mixed, -_SPAN, _SPAN) + _SPAN) * (_BINS - 1) / (2 * _SPAN)).astype(np.int64)
+        low += spelled * _BINS
+        size = mixer.refined.size
+        held = mixer.refined.reshape(-1) * _HELD + np.bincount(low, ones, minlength=size)
+        mixer.refined = (held / (_HELD + np.bincount(low, zeros + ones, minlength=size))).astype(np.float32).reshape(1, 2, -1)
+        return mixer
+
     def cost(self, found: Decisions, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Log2 probability of each document's decisions, learning from every `_STEP` of them before the next."""
         total = np.zeros(len(self.weights))
         size = np.bincount(found.doc, minlength=len(total))
         start = np.cumsum(size) - size
+        # Gate and value of a decision in one byte, and a row of weights a context.
+        marks = gate << np.uint8(1) | found.bit
+        weights = np.ascontiguousarray(self.weights.reshape(-1, _CONTEXTS).T)
         for first in range(0, int(size.max(initial=0)), _STEP):
             live = np.flatnonzero(size > first)
-            take = _ranges(start[live] + first, np.minimum(size[live] - first, _STEP))
-            chosen = odds.take(take, axis=1)
-            total += self._learn(found.doc[take], found.bit[take].astype(np.float32), found.spelled[take], chosen, gate[take])
+            each = np.minimum(size[live] - first, _STEP)
+            take = _ranges(start[live] + first, each)
+            cost = self._learn(weights, np.repeat(live, each), marks.take(take), [o.take(take) for o in odds])
+            total[live] += np.add.reduceat(cost, np.cumsum(each) - each, dtype=np.float64)
+        self.weights = np.ascontiguousarray(weights.T).reshape(self.weights.shape)
         return total
 
-    def _learn(self, doc: np.ndarray, bit: np.ndarray, spelled: np.ndarray, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        n = len(self.weights)
+    def _learn(self, weights: np.ndarray, doc: np.ndarray, marks: np.ndarray, odds: list[np.ndarray]) -> np.ndarray:
         # Places as numpy wants them, so that no use of them converts them again.
-        cell = np.add(doc * _GATES, gate, dtype=np.intp)
-        weights = self.weights.reshape(-1, _CONTEXTS)[cell]
-        mixed = np.clip(np.einsum("ik,ki->i", weights, odds), -_SPAN + 0.01, _SPAN - 0.01)
+        cell = doc * _GATES + (marks >> np.uint8(1))
+        bit = (marks & np.uint8(1)).astype(np.float32)
+        mixed = weights[0].take(cell) * odds[0]
+        for k in range(1, _CONTEXTS):
+            mixed += weights[k].take(cell) * odds[k]
+        mixed = np.clip(mixed, -_SPAN + 0.01, _SPAN - 0.01)
         chance = 1 / (1 + np.exp(-mixed))
         scaled = (mixed + np.float32(_SPAN)) * np.float32((_BINS - 1) / (2 * _SPAN))
         low = scaled.astype(np.intp)
         share = scaled - low.astype(np.float32)
-        low += (doc * 2 + spelled) * _BINS
+        # The upper half of the gates is of spelled words.
+        low += (doc * 2 + (marks >= _GATES)) * _BINS
         refined = self.refined.reshape(-1)
-        final = (chance + refined[low] * (1 - share) + refined[low + 1] * share) / 2
+        final = (chance + refined.take(low) * (1 - share) + refined.take(low + 1) * share) / 2
         final = np.clip(final, _LEAST, 1 - _LEAST)
-        cost = np.log2(1 - np.abs(bit - final))
+        cost = np.log(1 - np.abs(bit - final)) * np.float32(1 / np.log(2))
         error = (bit - chance) * np.float32(_RATE)
         for k in range(_CONTEXTS):
-            self.weights[:, :, k] += np.bincount(cell, error * odds[k], minlength=n * _GATES).reshape(n, _GATES)
+            weights[k] += np.bincount(cell, error * odds[k], minlength=weights.shape[1])
         near = low + (share >= 0.5)
-        refined += np.bincount(near, bit - refined[near], minlength=refined.size) / (
+        refined += np.bincount(near, bit - refined.take(near), minlength=refined.size) / (
             _HELD + np.bincount(near, minlength=refined.size)
         )
-        return np.bincount(doc, cost, minlength=n)
+        return cost
 
 
 class Model:
@@ -296,34 +349,72 @@ class Model:
         self.lexicon, self.states, self.bits = lexicon, states, bits
         self.mixer = Mixer.new()
 
+    def _states(self, found: Decisions) -> list[np.ndarray]:
+        table = np.frombuffer(self.states, dtype="<u2").reshape(_CONTEXTS, -1)
+        return [table[k].take(slots) for k, slots in enumerate(found.slots)]
+
     def _inputs(self, found: Decisions, own: list[tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Log-odds by context and the gate of every decision; `own` counts are taken off first."""
+        """Log-odds by context and the gate of every decision; `own` counts of cells (a slot and a bit) are taken off first."""
         if not hasattr(self, "_cached"):
             self._cached = _tables()
         odds, seen = self._cached
-        table = np.frombuffer(self.states, dtype="<u2").reshape(_CONTEXTS, -1)
-        states = [table[k][slots] for k, slots in enumerate(found.slots)]
+        states = self._states(found)
         if own is not None:
-            states = [_less(s, slots, *o) for s, slots, o in zip(states, found.slots, own, strict=True)]
-        gate = (found.spelled * np.uint8(3) + seen[states[1]]) * np.uint8(3) + seen[states[2]]
-        return np.stack([odds[s] for s in states]), gate
+            counts = np.zeros(2 << self.bits, dtype=np.uint8)
+            for k, (cells, n) in enumerate(own):
+                counts[cells ^ 1] = np.minimum(n, 255)
+                states[k] = _less(states[k], counts.view("<u2").take(found.slots[k]))
+                counts[cells ^ 1] = 0
+        gate = (found.spelled * np.uint8(3) + seen.take(states[1])) * np.uint8(3) + seen.take(states[2])
+        return np.stack([odds.take(s) for s in states]), gate
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_cached"}
 
-    def tune(self, texts: list[bytes]) -> None:
-        """Learn first weights from training texts in a row, each without its own part of the counts."""
-        for text in texts:
-            reading = Reading(self.lexicon, [text])
-            parts = [np.arange(a, min(a + _SEGMENT, len(reading.words))) for a in range(0, len(reading.words), _SEGMENT)]
-            found = [reading.decisions(part, self.bits) for part in parts]
-            bit = np.concatenate([f.bit for f in found])
-            own = [
-                np.unique(np.concatenate([f.slots[k] for f in found]) << np.uint32(1) | bit, return_counts=True)
-                for k in range(_CONTEXTS)
-            ]
-            for part in found:
-                self.mixer.cost(part, *self._inputs(part, own))
+    def graded(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        """The cell of every decision in the counts of `Mixer.fitted`, each text without its own part of the counts."""
+        reading = Reading(self.lexicon, texts)
+        grade, value, _ = _grades()
+        counts = np.zeros((_CONTEXTS, 2 << self.bits), dtype=np.uint8)
+        pairs = counts.view("<u2")
+        ends = np.cumsum(reading.sizes)
+        one = np.uint8(1)
+
+        def cells(found: Decisions, own: list[np.ndarray]) -> np.ndarray:
+            cell = (found.spelled * np.uint8(2) + found.bit).astype(np.int32)
+            for states, mine in zip(self._states(found), own, strict=True):
+                cell = cell * np.int32(len(value)) + grade.take(_less(states, mine))
+            return cell
+
+        first = 0
+        while first < len(ends):
+            begin = int(ends[first] - reading.sizes[first])
+            last = max(first + 1, int(np.searchsorted(ends, begin + _SEGMENT, side="right")))
+            parts = [np.arange(a, min(a + _SEGMENT, ends[last - 1])) for a in range(begin, int(ends[last - 1]), _SEGMENT)]
+            if len(parts) == 1:
+                # Whole texts, counted one after another.
+                found = reading.decisions(parts[0], self.bits)
+                cuts = np.searchsorted(found.doc, np.arange(first, last + 1))
+                own = [np.empty(len(found.bit), dtype="<u2") for _ in range(_CONTEXTS)]
+                for k, slots in enumerate(found.slots):
+                    slot = slots.astype(np.intp)
+                    cell = slot * 2 + (found.bit ^ 1)
+                    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                        np.add.at(counts[k], cell[a:b], one)
+                        own[k][a:b] = pairs[k].take(slot[a:b])
+                        counts[k][cell[a:b]] = 0
+                yield cells(found, own)
+            else:
+                # One long text, read twice.
+                for part in parts:
+                    found = reading.decisions(part, self.bits)
+                    for k, slots in enumerate(found.slots):
+                        np.add.at(counts[k], slots.astype(np.intp) * 2 + (found.bit ^ 1), one)
+                for part in parts:
+                    found = reading.decisions(part, self.bits)
+                    yield cells(found, [pairs[k].take(slots) for k, slots in enumerate(found.slots)])
+                counts.fill(0)
+            first = last
 
     def score(self, texts: list[bytes | None]) -> tuple[Reading, np.ndarray]:
         """The texts read, and the log2 probability of each."""
@@ -384,27 +475,14 @@ def _states(training: DataFrame, lexicon: Lexicon, bits: int) -> bytes:
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((_CONTEXTS, 2 << bits), dtype=np.uint32)
-        held: list[list[np.ndarray]] = [[] for _ in range(_CONTEXTS)]
-        waiting = 0
-
-        def flush() -> None:
-            for k, slots in enumerate(held):
-                if slots:
-                    counts[k] += np.bincount(np.concatenate(slots), minlength=2 << bits).astype(np.uint32)
-                    slots.clear()
-
+        one = np.uint32(1)
         for texts in batches:
             for _, some in _texts(texts.column(0)):
                 reading = Reading(shared.value, some)
                 for a in range(0, len(reading.words), _SEGMENT):
                     found = reading.decisions(np.arange(a, min(a + _SEGMENT, len(reading.words))), bits)
                     for k, slots in enumerate(found.slots):
-                        held[k].append(slots << np.uint32(1) | found.bit)
-                    waiting += len(found.bit)
-                    if waiting > _BUFFER:
-                        flush()
-                        waiting = 0
-        flush()
+                        np.add.at(counts[k], slots.astype(np.intp) * 2 + found.bit, one)
         for k in range(_CONTEXTS):
             for part, sums in enumerate(counts[k].reshape(parts, -1)):
                 if most := int(sums.max()):
@@ -442,22 +520,33 @@ def _states(training: DataFrame, lexicon: Lexicon, bits: int) -> bytes:
     return b"".join(states.get(i, empty) for i in range(_CONTEXTS * parts))
 
 
-def _tuning_texts(training: DataFrame, shape: Shape) -> list[bytes]:
-    """Whole training texts in an order given by a hash, as many as the bounds allow."""
-    sized = training.select("key", "text", F.octet_length("text").alias("size")).where(
-        F.col("size").between(1, shape.tuned_bytes)
-    )
-    marks = sized.select("size", F.xxhash64("key", "text").alias("mark")).orderBy("mark").limit(shape.tuned_rows).collect()
-    chosen, total = [], 0
-    for row in marks:
-        total += row["size"]
-        if total <= shape.tuned_bytes:
-            chosen.append(row["mark"])
-    if not chosen:
-        return []
-    rows = sized.withColumn("mark", F.xxhash64("key", "text")).where(F.col("mark").isin(chosen))
-    texts = rows.groupBy("mark").agg(F.min("text").alias("text")).orderBy("mark").collect()
-    return [r["text"].encode() for r in texts]
+def _first_mixer(training: DataFrame, model: Broadcast, rows: int | None) -> Mixer:
+    """Weights fitted to the decisions of all training texts, or of so many in an order given by a hash.
+
+    A task sends its counts by cell, of which there are some 300,000 at most, and so does the sum of all.
+    """
+    if rows == 0:
+        return Mixer.new()
+    if rows is not None:
+        training = training.orderBy(F.xxhash64("key", "text")).limit(rows)
+    size = len(_grades()[1]) ** _CONTEXTS
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(4 * size, dtype=np.int64)
+        for texts in batches:
+            for _, some in _texts(texts.column(0)):
+                for cells in model.value.graded(some):
+                    counts += np.bincount(cells, minlength=len(counts))
+        cells = np.flatnonzero(counts)
+        columns = [pa.array(cells.astype(np.int32)), pa.array(counts[cells])]
+        yield pa.RecordBatch.from_arrays(columns, names=["cell", "n"])
+
+    tasks = max(1, 8 * training.sparkSession.sparkContext.defaultParallelism)
+    found = training.select("text").coalesce(tasks).mapInArrow(counted, "cell int, n long")
+    sums = found.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(4 * size, dtype=np.int64)
+    counts[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
+    return Mixer.fitted(counts.reshape(2, 2, size))
 
 
 def score(
@@ -485,13 +574,13 @@ def score(
     top = counts.where(F.col("n") >= shape.least).orderBy(F.desc("n"), "word").limit(shape.lexicon).toArrow()
     words, numbers = top.column("word").to_pylist(), top.column("n").to_pylist()
     lexicon = Lexicon(words, numbers, ends, total["n"] - sum(numbers))
-    model = Model(lexicon, _states(learnt, lexicon, shape.bits), shape.bits)
-    model.tune(_tuning_texts(learnt, shape))
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(Model(lexicon, _states(learnt, lexicon, shape.bits), shape.bits))
+    first_mixer = _first_mixer(learnt, shared, shape.tuned_rows)
     bytes_log = np.log10(2)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, known_base = TaskContext.get().partitionId() << 36, shared.value.lexicon.base
+        shared.value.mixer = first_mixer
         for batch in batches:
             for first, some in _texts(batch.column("text")):
                 reading, bits = shared.value.score(some)

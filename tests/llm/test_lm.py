@@ -182,3 +182,48 @@ def test_odd_rows(spark):
     nothing = lm.score(df, F.lit(None).cast("boolean"), shape).toPandas()
     assert set(nothing.train_tokens) == {0} and (nothing.base_score.abs() < 1e-6).all() and set(nothing.n_known) == {0}
     assert lm.score(df.limit(0), F.lit(True), shape).count() == 0
+
+
+def test_first_weights_come_from_all_training_texts(spark, few, monkeypatch):
+    """Fitted in Spark and one text after another alike, and the held-out texts gain by it."""
+    few_texts = [t.encode() for _, t in few]
+    lexicon = lm.Lexicon([b"the", b"of"], [9, 4], 3, 50)
+    df = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(few_texts)], "key long, text string").repartition(3)
+    model = lm.Model(lexicon, lm._states(df, lexicon, 14), 14)
+    size = len(lm._grades()[1])
+    counts = np.zeros(4 * size**3, dtype=np.int64)
+    for text in few_texts:
+        reading = lm.Reading(lexicon, [text])
+        found = reading.decisions(np.arange(len(reading.words)), 14)
+        own = [np.unique(s << np.uint32(1) | found.bit, return_counts=True) for s in found.slots]
+        odds, gate = model._inputs(found, own)
+        cells = np.concatenate(list(model.graded([text])))
+        _, value, seen = lm._grades()
+        spelled, bit, *grades = np.unravel_index(cells, (2, 2, size, size, size))
+        assert (bit == found.bit).all() and (gate == (spelled * 3 + seen[grades[1]]) * 3 + seen[grades[2]]).all()
+        assert max(np.abs(np.clip(odds[k], -8, 8) - value[g]).max() for k, g in enumerate(grades)) <= 0.25
+        counts += np.bincount(cells, minlength=len(counts))
+        # A long text is read in parts, with the same result.
+        with monkeypatch.context() as m:
+            m.setattr(lm, "_SEGMENT", 16)
+            parts = np.concatenate(list(model.graded([text])))
+        assert (parts == cells).all()
+    assert (np.sort(np.concatenate(list(model.graded(few_texts)))) == np.repeat(np.arange(len(counts)), counts)).all()
+    want = lm.Mixer.fitted(counts.reshape(2, 2, -1))
+    got = lm._first_mixer(df, spark.sparkContext.broadcast(model), None)
+    assert np.array_equal(got.weights, want.weights) and np.array_equal(got.refined, want.refined)
+    fewer = lm._first_mixer(df, spark.sparkContext.broadcast(model), 3)
+    assert not np.array_equal(fewer.weights, want.weights)
+
+
+def test_no_training_text_is_left_out_of_the_first_weights(spark):
+    """More than the 400 texts of 2 MB that they once came from: those at the end change them too."""
+    common = [(i, f"alpha beta gamma delta number{i % 7}") for i in range(600)]
+    weights = []
+    for more in ([], [(600 + i, "omega " * 50 + "psi " * i) for i in range(40)]):
+        df = spark.createDataFrame(common + more, "key long, text string")
+        model = lm.Model(lm.Lexicon([b"alpha", b"omega"], [9, 9], 9, 9), bytes(2 * lm._CONTEXTS << 12), 12)
+        weights.append(lm._first_mixer(df, spark.sparkContext.broadcast(model), None).refined)
+    assert not np.array_equal(*weights)
+    long = spark.createDataFrame([(0, "alpha omega other " * 150_000)], "key long, text string")
+    assert not np.array_equal(lm._first_mixer(long, spark.sparkContext.broadcast(model), None).refined, lm.Mixer.new().refined)
