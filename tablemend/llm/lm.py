@@ -33,6 +33,8 @@ _MIX, _STIR = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 # Words counted before a task passes its counts on; bytes of text and words of a text worked on at a time; decisions
 # learnt from together; slots of a part of the table.
 _COUNTED, _TEXT, _SEGMENT, _STEP, _PART = 500_000, 1 << 19, 1 << 16, 512, 1 << 15
+# Words whose decisions are counted at a time, so that these stay in a core's cache.
+_COUNTING = 1 << 13
 # Counts up to here have a level of their own; levels above grow by a factor.
 _EXACT, _GROWTH, _LEVELS = 64, 1.12, 256
 _PRIOR, _RATE, _LEAST = 0.6, 0.002, 1e-4
@@ -87,8 +89,9 @@ def huffman(weights: list[int]) -> Codes:
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places of several ranges one after another."""
     ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(start - ends + size, size) + np.arange(total)
+    found = np.repeat(start - ends + size, size)
+    found += np.arange(len(found))
+    return found
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -110,6 +113,7 @@ class Lexicon:
             np.concatenate([whole.node, letters.node + np.uint32(len(words) + 2)]),
             np.concatenate([whole.bit, letters.bit]),
         )
+        self.mixed = self.codes.node * _MIX
         self.rare = self.byte + 257
         self.numbers = {**{w: i for i, w in enumerate(words)}, _END: self.end}
         self.hashes = _hashes([*words, _END])
@@ -197,18 +201,24 @@ class Reading:
         first = lexicon.codes.first
         size = first[codes + 1] - first[codes]
         place = _ranges(first[codes], size)
-        node = lexicon.codes.node[place] * _MIX
+        node = lexicon.mixed.take(place)
         slots = []
         for word_context, letter_context in zip(self._contexts, self._letter_contexts, strict=True):
             context = np.zeros(len(codes), dtype=np.uint32)
             if word_context is not None:
                 context[at] = word_context[chosen]
             context[into] = letter_context[source]
-            slots.append((np.repeat(context, size) ^ node) * _STIR >> np.uint32(32 - bits))
+            slot = np.repeat(context, size)
+            slot ^= node
+            slot *= _STIR
+            slot >>= np.uint32(32 - bits)
+            slots.append(slot)
         spelled = np.zeros(len(codes), dtype=np.uint8)
         spelled[into] = 1
-        doc = np.repeat(np.repeat(self.doc[chosen], events), size)
-        return Decisions(doc, lexicon.codes.bit[place], np.repeat(spelled, size), slots)
+        # How many decisions each word and its letters take together.
+        each = np.add.reduceat(size, at) if len(at) else at
+        doc = np.repeat(self.doc[chosen], each)
+        return Decisions(doc, lexicon.codes.bit.take(place), np.repeat(spelled, size), slots)
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -244,7 +254,17 @@ def _less(states: np.ndarray, own: np.ndarray) -> np.ndarray:
     """States without own counts, both with zeros in the upper and ones in the lower byte; levels beyond the exact ones
     hardly change, so own counts above those may be cut to a byte."""
     levels, counts = np.ascontiguousarray(states).view(np.uint8), own.view(np.uint8)
-    return np.where(levels <= _EXACT, levels - np.minimum(levels, counts), levels).view(np.uint16)
+    counts = counts * (levels <= _EXACT)
+    np.minimum(levels, counts, out=counts)
+    return np.subtract(levels, counts, out=counts).view(np.uint16)
+
+
+def _cells(slots: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Places of slots' counts of zeros or ones."""
+    cell = slots.astype(np.intp)
+    cell <<= 1
+    cell += bit
+    return cell
 
 
 @dataclass
@@ -378,7 +398,7 @@ class Model:
         counts = np.zeros((_CONTEXTS, 2 << self.bits), dtype=np.uint8)
         pairs = counts.view("<u2")
         ends = np.cumsum(reading.sizes)
-        one = np.uint8(1)
+        one, most = np.uint8(1), min(_COUNTING, _SEGMENT)
 
         def cells(found: Decisions, own: list[np.ndarray]) -> np.ndarray:
             cell = (found.spelled * np.uint8(2) + found.bit).astype(np.int32)
@@ -389,27 +409,27 @@ class Model:
         first = 0
         while first < len(ends):
             begin = int(ends[first] - reading.sizes[first])
-            last = max(first + 1, int(np.searchsorted(ends, begin + _SEGMENT, side="right")))
-            parts = [np.arange(a, min(a + _SEGMENT, ends[last - 1])) for a in range(begin, int(ends[last - 1]), _SEGMENT)]
+            last = max(first + 1, int(np.searchsorted(ends, begin + most, side="right")))
+            parts = [np.arange(a, min(a + most, ends[last - 1])) for a in range(begin, int(ends[last - 1]), most)]
             if len(parts) == 1:
                 # Whole texts, counted one after another.
                 found = reading.decisions(parts[0], self.bits)
                 cuts = np.searchsorted(found.doc, np.arange(first, last + 1))
                 own = [np.empty(len(found.bit), dtype="<u2") for _ in range(_CONTEXTS)]
                 for k, slots in enumerate(found.slots):
-                    slot = slots.astype(np.intp)
-                    cell = slot * 2 + (found.bit ^ 1)
+                    slot, cell = slots.astype(np.intp), _cells(slots, found.bit ^ one)
                     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                         np.add.at(counts[k], cell[a:b], one)
                         own[k][a:b] = pairs[k].take(slot[a:b])
-                        counts[k][cell[a:b]] = 0
+                        # Both counts of a slot at once.
+                        pairs[k][slot[a:b]] = 0
                 yield cells(found, own)
             else:
                 # One long text, read twice.
                 for part in parts:
                     found = reading.decisions(part, self.bits)
                     for k, slots in enumerate(found.slots):
-                        np.add.at(counts[k], slots.astype(np.intp) * 2 + (found.bit ^ 1), one)
+                        np.add.at(counts[k], _cells(slots, found.bit ^ one), one)
                 for part in parts:
                     found = reading.decisions(part, self.bits)
                     yield cells(found, [pairs[k].take(slots) for k, slots in enumerate(found.slots)])
@@ -479,10 +499,10 @@ def _states(training: DataFrame, lexicon: Lexicon, bits: int) -> bytes:
         for texts in batches:
             for _, some in _texts(texts.column(0)):
                 reading = Reading(shared.value, some)
-                for a in range(0, len(reading.words), _SEGMENT):
-                    found = reading.decisions(np.arange(a, min(a + _SEGMENT, len(reading.words))), bits)
+                for a in range(0, len(reading.words), _COUNTING):
+                    found = reading.decisions(np.arange(a, min(a + _COUNTING, len(reading.words))), bits)
                     for k, slots in enumerate(found.slots):
-                        np.add.at(counts[k], slots.astype(np.intp) * 2 + found.bit, one)
+                        np.add.at(counts[k], _cells(slots, found.bit), one)
         for k in range(_CONTEXTS):
             for part, sums in enumerate(counts[k].reshape(parts, -1)):
                 if most := int(sums.max()):
