@@ -13,11 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest sum of products that a signed 64-bit number holds.
 _LARGEST = 2**63 - 1
+_GROUP_TYPES = "group long, keys binary, width int, n_bytes int, data binary"
+_GROUP = pa.schema(
+    [("group", pa.int64()), ("keys", pa.binary()), ("width", pa.int32()), ("n_bytes", pa.int32()), ("data", pa.binary())]
+)
 
 
 class Shard:
@@ -75,7 +79,7 @@ class Shard:
 
 
 def _packed(vectors: DataFrame, group: str, key: str, weights: str) -> DataFrame:
-    """One row per group: its keys, ascending, and its vectors, filled up with zeros, as bytes."""
+    """One row per group: its keys, ascending, and its vectors, filled up with zeros, as bytes of so many a number."""
 
     def pack(batch: pa.Table) -> pa.Table:
         batch = batch.sort_by("key")
@@ -84,30 +88,45 @@ def _packed(vectors: DataFrame, group: str, key: str, weights: str) -> DataFrame
         dense = np.zeros((len(rows), width), dtype="<i8")
         for place, row in enumerate(rows):
             dense[place, : len(row)] = row
+        n_bytes = next(n for n in (1, 2, 4, 8) if _fits(dense, n))
         return pa.table(
             {
                 "group": [batch.column("group")[0].as_py()],
                 "keys": [batch.column("key").to_numpy().astype("<i8").tobytes()],
                 "width": [width],
-                "data": [dense.tobytes()],
+                "n_bytes": [n_bytes],
+                "data": [dense.astype(f"<i{n_bytes}").tobytes()],
             },
-            schema=pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("width", pa.int32()), ("data", pa.binary())]),
+            schema=_GROUP,
         )
 
     named = vectors.select(F.col(group).alias("group"), F.col(key).alias("key"), F.col(weights).alias("weights"))
-    return named.groupBy("group").applyInArrow(pack, "group long, keys binary, width int, data binary")
+    return named.groupBy("group").applyInArrow(pack, _GROUP_TYPES)
 
 
-def _unpacked(keys: bytes, width: int, data: bytes, wide: int) -> tuple[np.ndarray, np.ndarray]:
+def _fits(dense: np.ndarray, n_bytes: int) -> bool:
+    held = np.iinfo(f"<i{n_bytes}")
+    return held.min <= int(dense.min(initial=0)) and int(dense.max(initial=0)) <= held.max
+
+
+def _unpacked(keys: bytes, width: int, n_bytes: int, data: bytes, wide: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.frombuffer(keys, dtype="<i8")
     dense = np.zeros((len(key), wide), dtype=np.int64)
-    dense[:, :width] = np.frombuffer(data, dtype="<i8").reshape(len(key), width)
+    dense[:, :width] = np.frombuffer(data, dtype=f"<i{n_bytes}").reshape(len(key), width)
     return key, dense
 
 
-def _numbers(n: int) -> Column:
-    """A row for each number below n."""
-    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+def _copies(groups: DataFrame, name: str, n: int) -> DataFrame:
+    """Each group once for each number below n, one after another: `explode` holds all copies of a row at once."""
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                for number in range(n):
+                    yield pa.RecordBatch.from_arrays([*one.columns, pa.array([number])], names=[*one.schema.names, name])
+
+    return groups.mapInArrow(copied, f"{_GROUP_TYPES}, {name} long")
 
 
 def _largest(dense: np.ndarray) -> int:
@@ -130,7 +149,7 @@ def top_k(
     smaller key; rows that repeat a vector are candidates of their own, but none of a query with their key. Of queries
     that repeat a key the least vector is taken. No queries or no vectors give no rows. Scores that do not fit a long raise an error.
 
-    Shards and blocks of queries have a bounded number of rows; every pair of them is searched by a task of its own.
+    Shards and blocks of queries have a bounded number of rows; blocks are sent to the shards, one copy at a time.
     """
     whole = F.col(key).isNotNull() & F.col(weights).isNotNull() & ~F.exists(weights, lambda w: w.isNull())
 
@@ -143,38 +162,40 @@ def top_k(
     shards, n_shards = grouped(vectors, shard_rows)
     once = queries.where(whole).groupBy(key).agg(F.min(weights).alias(weights))
     blocks, n_blocks = grouped(once, block_rows)
-    cells = (
-        shards.select(*[F.col(c).alias(f"shard_{c}") for c in shards.columns])
-        .withColumn("block", _numbers(n_blocks))
-        .join(
-            blocks.withColumn("shard", _numbers(n_shards)),
-            (F.col("block") == F.col("group")) & (F.col("shard") == F.col("shard_group")),
-        )
-    )
+    # A shard meets its blocks in one task, or in more where there are fewer shards than tasks.
+    n_parts = max(1, min(n_blocks, -(-int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_shards)))
+    dealt = _copies(shards, "part", n_parts)
+    dealt = dealt.select(*[F.col(c).alias(f"shard_{c}") for c in dealt.columns])
+    sent = _copies(blocks, "shard", n_shards).withColumn("part", F.col("group") % n_parts)
+    # From the left, so that a row meets one other: all that a row meets are held at once.
+    cells = sent.join(dealt, (F.col("shard") == F.col("shard_group")) & (F.col("part") == F.col("shard_part")))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = None, None
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 wide = max(row["shard_width"], row["width"])
-                shard_keys, shard_vectors = _unpacked(row["shard_keys"], row["shard_width"], row["shard_data"], wide)
-                keys, query = _unpacked(row["keys"], row["width"], row["data"], wide)
-                if wide * _largest(shard_vectors) * _largest(query) > _LARGEST:
+                keys, query = _unpacked(row["keys"], row["width"], row["n_bytes"], row["data"], wide)
+                if last != (row["shard_group"], wide):
+                    own = (row[f"shard_{n}"] for n in ("keys", "width", "n_bytes", "data"))
+                    held = Shard(*_unpacked(*own, wide))
+                    last = row["shard_group"], wide
+                if wide * _largest(held.vectors) * _largest(query) > _LARGEST:
                     raise OverflowError("inner products do not fit a long")
-                shard = Shard(shard_keys, shard_vectors)
-                found = [shard.best(int(i), q, k) for i, q in zip(keys, query, strict=True)]
+                found = [held.best(int(i), q, k) for i, q in zip(keys, query, strict=True)]
                 sizes = [len(at) for at, _ in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(keys, sizes)),
-                        pa.array(shard_keys[np.concatenate([at for at, _ in found])]),
+                        pa.array(held.keys[np.concatenate([at for at, _ in found])]),
                         pa.array(np.concatenate([score for _, score in found])),
                     ],
                     names=["query_id", "other", "score"],
                 )
 
-    found = cells.select(
-        "shard_keys", "shard_width", "shard_data", "keys", "width", "data"
-    ).mapInArrow(search, "query_id long, other long, score long")
+    of = ["keys", "width", "n_bytes", "data"]
+    found = cells.select("shard_group", *[f"shard_{n}" for n in of], *of).mapInArrow(search, "query_id long, other long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "other")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("other").alias(key), "score")
